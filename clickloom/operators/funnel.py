@@ -2,9 +2,9 @@
 
 A session is not sorted as one group.  It is cut into time chunks; neighbours inside
 a chunk come from a window per (session, chunk), and the step from one chunk to the
-next from the first and last page of each chunk.  That is exact, keeps a session
-holding a third of the log spread over as many tasks as it has chunks, and leaves
-one row per chunk for the second window.
+next from the first and last action of each chunk.  That is exact, keeps a session
+holding a third of the log spread over as many tasks as it has chunks, and leaves at
+most two rows per chunk for the window over the session.
 """
 
 from __future__ import annotations
@@ -30,28 +30,28 @@ def flow_table(spark: SparkSession, flow: Sequence[int]) -> DataFrame:
 
 def transitions(actions: DataFrame, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
     """(session_id, from_page, to_page) of neighbouring actions, by time then id."""
+    # The explicit repartition is the one shuffle of the log: both branches below start
+    # from it, and equal inputs let the second branch reuse the first one's exchange.
     visits = actions.select(
         "session_id", "page_id", "action_ts", "event_id",
-        F.floor(F.unix_seconds("action_ts") / chunk_seconds).alias("chunk"))
-    chunk = Window.partitionBy("session_id", "chunk").orderBy("action_ts", "event_id")
+        F.floor(F.unix_seconds("action_ts") / chunk_seconds).alias("chunk")
+    ).repartition("session_id", "chunk")
     step = F.struct(F.col("page_id").alias("page"))
-    placed = visits.select(
-        "session_id", "chunk", F.col("page_id").alias("from_page"),
-        F.lead(step).over(chunk).alias("next"),
-        F.lag(step).over(chunk).alias("previous"))
-    inside = (placed.where(F.col("next").isNotNull())
-              .select("session_id", "from_page", F.col("next.page").alias("to_page")))
-
-    # A chunk of one action is both first and last, hence two structs per row.
+    chunk = Window.partitionBy("session_id", "chunk").orderBy("action_ts", "event_id")
+    placed = visits.select("*", F.lead(step).over(chunk).alias("next"),
+                           F.lag(step).over(chunk).alias("previous"))
+    inside = placed.where(F.col("next").isNotNull()).select(
+        "session_id", F.col("page_id").alias("from_page"), F.col("next.page").alias("to_page"))
+
+    # First and last action of every chunk.  In time order the one after a last action
+    # is the first of the next chunk.
     ends = placed.where(F.col("next").isNull() | F.col("previous").isNull())
-    bounds = ends.groupBy("session_id", "chunk").agg(
-        F.max(F.when(F.col("previous").isNull(), F.struct("from_page"))).alias("first"),
-        F.max(F.when(F.col("next").isNull(), F.struct("from_page"))).alias("last"))
-    following = F.lead("first").over(Window.partitionBy("session_id").orderBy("chunk"))
-    across = (bounds.select("session_id", "last", following.alias("following"))
-              .where(F.col("following").isNotNull())
-              .select("session_id", F.col("last.from_page").alias("from_page"),
-                      F.col("following.from_page").alias("to_page")))
+    session = Window.partitionBy("session_id").orderBy("action_ts", "event_id")
+    across = (ends.select("session_id", "page_id", "next",
+                          F.lead(step).over(session).alias("following"))
+              .where(F.col("next").isNull() & F.col("following").isNotNull())
+              .select("session_id", F.col("page_id").alias("from_page"),
+                      F.col("following.page").alias("to_page")))
     return inside.unionByName(across)
 
 

@@ -58,8 +58,12 @@ def queries() -> dict[str, Query]:
 
 # --- inputs ---------------------------------------------------------------------------
 
-def _actions(spark, d):
-    return testdata.actions(spark, d, **RANGE)
+CLICK, ORDER, PAY = ("click",), ("signup",), ("purchase",)
+TOUCH = CLICK + ORDER + PAY
+
+
+def _actions(spark, d, kinds=()):
+    return testdata.actions(spark, d, **RANGE, kinds=kinds)
 
 
 def _all_actions(spark, d):
@@ -100,7 +104,7 @@ def action_scan_date_range(spark, d):
 
 @query
 def product_click_scan(spark, d):
-    return tables.product_clicks(_actions(spark, d))
+    return tables.product_clicks(_actions(spark, d, CLICK))
 
 
 @query
@@ -191,37 +195,37 @@ def session_stat_ratio(spark, d):
 
 # --- categories -----------------------------------------------------------------------
 
-def _kept_actions(spark, d):
-    return S.actions_of(_actions(spark, d), _sessions(spark, d, DEFAULT))
+def _kept_actions(spark, d, kinds):
+    return S.actions_of(_actions(spark, d, kinds), _sessions(spark, d, DEFAULT))
 
 
 def _top10(spark, d):
-    return categories.top_categories(categories.full_counts(_kept_actions(spark, d)))
+    return categories.top_categories(categories.full_counts(_kept_actions(spark, d, TOUCH)))
 
 
 @query
 def category_click_count(spark, d):
-    return categories.click_count(_kept_actions(spark, d))
+    return categories.click_count(_kept_actions(spark, d, CLICK))
 
 
 @query
 def category_order_count(spark, d):
-    return categories.order_count(_kept_actions(spark, d))
+    return categories.order_count(_kept_actions(spark, d, ORDER))
 
 
 @query
 def category_pay_count(spark, d):
-    return categories.pay_count(_kept_actions(spark, d))
+    return categories.pay_count(_kept_actions(spark, d, PAY))
 
 
 @query
 def category_universe(spark, d):
-    return categories.universe(_kept_actions(spark, d))
+    return categories.universe(_kept_actions(spark, d, TOUCH))
 
 
 @query
 def category_full_counts(spark, d):
-    return categories.full_counts(_kept_actions(spark, d))
+    return categories.full_counts(_kept_actions(spark, d, TOUCH))
 
 
 @query
@@ -231,13 +235,13 @@ def top10_category(spark, d):
 
 @query
 def top10_category_actions(spark, d):
-    found = categories.clicks_on(_kept_actions(spark, d), _top10(spark, d))
+    found = categories.clicks_on(_kept_actions(spark, d, CLICK), _top10(spark, d))
     return found.select("event_id", "session_id", "click_category_id")
 
 
 @query
 def category_session_clicks(spark, d):
-    return categories.session_clicks(_kept_actions(spark, d))
+    return categories.session_clicks(_kept_actions(spark, d, CLICK))
 
 
 @query
@@ -245,7 +249,7 @@ def top10_session_per_category(spark, d):
     # Clicks are narrowed to ten categories and counted per (category, session) before
     # the session join, which then sees at most ten rows per session.
     counts = categories.session_clicks(
-        categories.clicks_on(_actions(spark, d), _top10(spark, d)))
+        categories.clicks_on(_actions(spark, d, CLICK), _top10(spark, d)))
     return categories.top_sessions(S.actions_of(counts, _sessions(spark, d, DEFAULT)))
 
 
@@ -324,7 +328,7 @@ def page_convert_rate_string(spark, d):
 # --- areas ----------------------------------------------------------------------------
 
 def _area_counts(spark, d):
-    return areas.product_click_count(tables.product_clicks(_actions(spark, d)),
+    return areas.product_click_count(tables.product_clicks(_actions(spark, d, CLICK)),
                                      testdata.cities(spark, d))
 
 
@@ -334,13 +338,13 @@ def _area_info(spark, d):
 
 @query
 def area_product_basic(spark, d):
-    return areas.basic(tables.product_clicks(_actions(spark, d)), testdata.cities(spark, d))
+    return areas.basic(tables.product_clicks(_actions(spark, d, CLICK)), testdata.cities(spark, d))
 
 
 @query
 def area_basic_ordered(spark, d):
     product = F.col("click_product_id")
-    clicks = (_actions(spark, d).where(product.isNotNull() & (product != -1))
+    clicks = (_actions(spark, d, CLICK).where(product.isNotNull() & (product != -1))
               .select("city_id", "click_product_id", "event_id"))
     return areas.ordered(areas.basic(clicks, testdata.cities(spark, d)))
 
@@ -353,7 +357,7 @@ def area_product_click_count(spark, d):
 @query
 def group_concat_distinct(spark, d):
     """Distinct city list of every product over all areas."""
-    counted = (tables.product_clicks(_actions(spark, d))
+    counted = (tables.product_clicks(_actions(spark, d, CLICK))
                .groupBy("city_id", "click_product_id").agg(F.count(F.lit(1)).alias("clicks")))
     named = areas.basic(counted, testdata.cities(spark, d))
     city = text.concat_long_string(F.col("city_id"), F.col("city_name"), ":")

@@ -341,9 +341,9 @@ _SQL: dict[str, tuple[str, str]] = {
     "ad_province_top3_stream": (ADS, "SELECT * FROM prov_top"),
     "ad_click_trend_stream": (ADS, "SELECT * FROM trend"),
     "ad_click_sliding_60m": (ADS, """
-      SELECT strftime(to_timestamp(w * 60) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S')
+      SELECT strftime(make_timestamp(w * 60000000), '%Y-%m-%d %H:%M:%S')
                AS window_start,
-             strftime(to_timestamp((w + 60) * 60) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S')
+             strftime(make_timestamp((w + 60) * 60000000), '%Y-%m-%d %H:%M:%S')
                AS window_end,
              adid, count(*) AS click_count
       FROM (SELECT adid, unnest(range(es // 60 - 59, es // 60 + 1)) AS w FROM clk)

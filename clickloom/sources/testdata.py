@@ -59,9 +59,15 @@ def _visit_clock(ts: Column) -> Column:
 
 
 def actions(spark: SparkSession, sf_dir: str, start: str | None = None,
-            end: str | None = None) -> DataFrame:
-    """``user_visit_action`` with ``event_id``, ``action_ts`` and ``visit_sec`` added."""
+            end: str | None = None, kinds: tuple[str, ...] = ()) -> DataFrame:
+    """``user_visit_action`` with ``event_id``, ``action_ts`` and ``visit_sec`` added.
+
+    ``kinds`` names the event types a query can use at all, so that its filter on a
+    derived column (a real click, say) also reaches the scan.
+    """
     events = events_between(table(spark, sf_dir, "events"), start, end)
+    if kinds:
+        events = events.where(F.col("event_type").isin(list(kinds)))
     kind = F.col("event_type")
     ts = F.col("ts").cast("timestamp")
     k = F.col("k")
