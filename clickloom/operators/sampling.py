@@ -56,14 +56,13 @@ def draw(sessions: DataFrame, sample_size: int = 100, seed: str = "0") -> DataFr
             .select("session_id", "start_ts", "date", "hour"))
 
 
-def random_extract(actions: DataFrame, sessions: DataFrame, sample_size: int = 100,
-                   seed: str = "0") -> DataFrame:
-    """The sample with keyword and category lists.
+def extract(actions: DataFrame, drawn: DataFrame) -> DataFrame:
+    """Start time, keyword list and category list of the drawn sessions.
 
-    Lists are gathered for drawn sessions only.  The draw has at most ``sample_size``
+    Lists are gathered for drawn sessions only.  ``drawn`` has at most ``sample_size``
     rows (day quota times days), a bound set by the caller, so it is broadcast.
     """
-    ids = F.broadcast(draw(sessions, sample_size, seed).select("session_id"))
+    ids = F.broadcast(drawn.select("session_id"))
     return S.output_columns(S.rollup(actions.join(ids, "session_id", "left_semi"))).select(
         "session_id", "start_time", "search_keywords", "click_category_ids")
 

@@ -272,8 +272,8 @@ def session_sample_quota(spark, d):
 
 @query
 def session_random_extract(spark, d):
-    return sampling.random_extract(_all_actions(spark, d), _known_sessions(spark, d),
-                                   SAMPLE_SIZE)
+    drawn = sampling.draw(_known_sessions(spark, d), SAMPLE_SIZE)
+    return sampling.extract(_all_actions(spark, d), drawn)
 
 
 @query

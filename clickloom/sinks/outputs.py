@@ -19,10 +19,10 @@ def with_task_id(df: DataFrame, task_id: str) -> DataFrame:
     return df.select(F.lit(task_id).alias("taskid"), *df.columns)
 
 
-def parquet_sink(root: str) -> Sink:
-    """Append to ``root/<table>``."""
+def parquet_sink(root: str, mode: str = "append") -> Sink:
+    """Append to (or overwrite) ``root/<table>``."""
     def write(df: DataFrame, table: str) -> None:
-        df.write.mode("append").parquet(f"{root}/{table}")
+        df.write.mode(mode).parquet(f"{root}/{table}")
 
     return write
 
@@ -35,12 +35,17 @@ def jdbc_options(url: str, user: str | None = None, password: str | None = None,
     return {key: value for key, value in given.items() if value is not None}
 
 
-def jdbc_sink(options: dict[str, str], max_connections: int = 10) -> Sink:
-    """Append over JDBC.  ``max_connections`` bounds the number of writing tasks, and
-    ``batchsize`` the rows per statement batch; an error fails the job."""
+def jdbc_sink(options: dict[str, str], mode: str = "append",
+              max_connections: int = 10) -> Sink:
+    """Append to (or, for merged tables, refill) a table over JDBC.
+
+    ``max_connections`` bounds the number of writing tasks, ``batchsize`` the rows per
+    statement batch; an error fails the job.
+    """
     def write(df: DataFrame, table: str) -> None:
         (df.write.format("jdbc").options(**options).option("dbtable", table)
-         .option("numPartitions", max_connections).mode("append").save())
+         .option("numPartitions", max_connections).option("truncate", True)
+         .mode(mode).save())
 
     return write
 

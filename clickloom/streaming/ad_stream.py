@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from clickloom import schemas
 from clickloom.functions import dates
 from clickloom.operators import ads
+from clickloom.sinks.outputs import Sink
 from clickloom.sources import ad_log
 from clickloom.streaming import delta_log as dl
 
@@ -137,6 +138,15 @@ class AdStream:
         newest = trend.agg(F.max(at)).scalar()
         return trend.where(at > newest - F.expr("INTERVAL 60 MINUTES"))
 
+    def export(self, sink: Sink) -> None:
+        """Hand the merged result tables to an overwriting sink."""
+        for name, table in (("ad_blacklist", self.blacklist()),
+                            ("ad_user_click_count", self.user_day()),
+                            ("ad_stat", self.ad_stat()),
+                            ("ad_province_top3", self.province_top()),
+                            ("ad_click_trend", self.click_trend())):
+            sink(table, name)
+
     def rejects(self) -> DataFrame:
         paths = [f"{self.root}/rejects/{b}" for b in range(self.upto() + 1)]
         return self.spark.read.schema(schemas.AD_REJECT).parquet(*paths)
