@@ -32,11 +32,6 @@ def without_blacklisted(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
     return clicks.join(blacklist, "userid", "left_anti")
 
 
-def new_users(found: DataFrame, blacklist: DataFrame) -> DataFrame:
-    """Insert-only batch: users not stored yet."""
-    return found.join(blacklist, "userid", "left_anti")
-
-
 def stat(clicks: DataFrame) -> DataFrame:
     """Clicks per day, province, city and ad."""
     return clicks.groupBy(*STAT).agg(clicks_total())

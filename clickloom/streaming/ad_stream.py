@@ -7,7 +7,11 @@ reads it anew and does its steps in a fixed order.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
+
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -52,40 +56,57 @@ class AdStream:
         return f"{self.root}/checkpoint"
 
     def process(self, lines: DataFrame, batch_id: int) -> None:
-        """One micro-batch.  Safe to repeat with the same ``batch_id``."""
+        """One micro-batch.  Safe to repeat with the same ``batch_id``.
+
+        The batch is read, parsed and matched with the blacklist once.  The results
+        then depend on nothing but it and their own table, so their jobs run together.
+        """
         past = batch_id - 1
-        parsed = self._close_days(ad_log.parse(lines), past).persist(
-            StorageLevel.MEMORY_AND_DISK)
-        clicks = ads.without_blacklisted(
-            ad_log.good(parsed), self.blacklist_log.current(past)).persist(
-                StorageLevel.MEMORY_AND_DISK)
+        parsed = self._close_days(ad_log.parse(lines), past)
+        listed = self.blacklist_log.current(past).withColumn("listed", F.lit(True))
+        marked = parsed.join(listed, "userid", "left").persist(StorageLevel.MEMORY_AND_DISK)
+        clicks = ad_log.good(marked.where(F.col("listed").isNull()))
         try:
-            (ad_log.rejects(parsed).write.mode("overwrite")
-             .parquet(f"{self.root}/rejects/{batch_id}"))
-
-            self.user_day_log.write(ads.user_day_count(clicks), batch_id)
-            touched = self.user_day_log.batch(batch_id).select(*ads.USER_DAY)
-            totals = self.user_day_log.current(batch_id, only=touched)
-            found = ads.abusive_users(totals, self.threshold)
-            self.blacklist_log.write(
-                ads.new_users(found, self.blacklist_log.current(past)), batch_id)
-
-            self.stat_log.write(ads.stat(clicks), batch_id)
-            changed = (self.stat_log.batch(batch_id).select("date", "province").distinct())
-            stats = self.stat_log.current(batch_id, only=changed)
-            self.top_log.write(ads.province_top(ads.province_count(stats), self.top), batch_id)
-
-            self.trend_log.write(ads.trend(ads.minute_counts(clicks)), batch_id)
-            if self.open_days is not None:
-                self.day_log.write(ad_log.good(parsed).select("date").distinct(), batch_id)
-                self.day_log.compact(batch_id)
+            self._together(
+                lambda: self._extend_blacklist(clicks, batch_id),
+                lambda: self._rank_provinces(clicks, batch_id),
+                lambda: self.trend_log.write(ads.trend(ads.minute_counts(clicks)), batch_id),
+                lambda: self._set_aside(marked, batch_id))
             if self.stat_log.due(batch_id):
                 horizon = self._horizon(batch_id)
-                for log in self.logs:
-                    log.compact(batch_id, horizon)
+                self._together(*(partial(log.compact, batch_id, horizon)
+                                 for log in self.logs))
         finally:
-            clicks.unpersist()
-            parsed.unpersist()
+            marked.unpersist()
+
+    def _extend_blacklist(self, clicks: DataFrame, batch_id: int) -> None:
+        self.user_day_log.write(ads.user_day_count(clicks), batch_id)
+        touched = self.user_day_log.batch(batch_id).select(*ads.USER_DAY)
+        totals = self.user_day_log.current(batch_id, only=touched)
+        # Nobody listed before is found again: their clicks did not pass.
+        self.blacklist_log.write(ads.abusive_users(totals, self.threshold), batch_id)
+
+    def _rank_provinces(self, clicks: DataFrame, batch_id: int) -> None:
+        self.stat_log.write(ads.stat(clicks), batch_id)
+        changed = self.stat_log.batch(batch_id).select("date", "province").distinct()
+        stats = self.stat_log.current(batch_id, only=changed)
+        self.top_log.write(ads.province_top(ads.province_count(stats), self.top), batch_id)
+
+    def _set_aside(self, marked: DataFrame, batch_id: int) -> None:
+        """Malformed and late records; and, if days are closed, which days were seen."""
+        (ad_log.rejects(marked).write.mode("overwrite")
+         .parquet(f"{self.root}/rejects/{batch_id}"))
+        if self.open_days is not None:
+            self.day_log.write(ad_log.good(marked).select("date").distinct(), batch_id)
+            self.day_log.compact(batch_id)
+
+    def _together(self, *steps: Callable[[], None]) -> None:
+        """Run independent jobs at once; the first failure fails the batch."""
+        with ThreadPoolExecutor(len(steps)) as pool:
+            waiting = [pool.submit(inheritable_thread_target(self.spark)(step))
+                       for step in steps]
+        for step in waiting:
+            step.result()
 
     def _horizon(self, upto: int) -> str | None:
         """First open day after batch ``upto``, from the days seen until then."""
