@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions import dates
+from clickloom.operators.ranking import top_per_group
 
 USER_DAY = ["date", "userid", "adid"]
 STAT = ["date", "province", "city", "adid"]
@@ -45,10 +46,9 @@ def province_count(stats: DataFrame) -> DataFrame:
 
 def province_top(totals: DataFrame, k: int = 3) -> DataFrame:
     """Top ads of each province and day; the ad id settles ties."""
-    order = Window.partitionBy("date", "province").orderBy(F.desc("click_count"),
-                                                           F.asc("adid"))
-    return (totals.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("date", "province", "adid", "click_count"))
+    ranked = top_per_group(totals, ["date", "province"],
+                           [F.desc("click_count"), F.asc("adid")], k, "adid")
+    return ranked.select("date", "province", "adid", "click_count")
 
 
 def minute_counts(clicks: DataFrame) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions import text
+from clickloom.operators.ranking import top_per_group
 
 
 def basic(clicks: DataFrame, cities: DataFrame) -> DataFrame:
@@ -62,7 +63,8 @@ def level(area: Column, levels: Mapping[str, str], default: str = "D Level") ->
 
 
 def top_products(info: DataFrame, levels: Mapping[str, str], k: int = 3) -> DataFrame:
-    order = Window.partitionBy("area").orderBy(F.desc("click_count"), F.asc("product_id"))
-    return (info.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("area", level(F.col("area"), levels).alias("area_level"), "product_id",
-                    "city_infos", "click_count", "product_name", "product_status"))
+    ranked = top_per_group(info, ["area"], [F.desc("click_count"), F.asc("product_id")], k,
+                           "product_id")
+    return ranked.select("area", level(F.col("area"), levels).alias("area_level"),
+                         "product_id", "city_infos", "click_count", "product_name",
+                         "product_status")

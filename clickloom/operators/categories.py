@@ -2,36 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions import text
-
-
-def _tagged(kind: str, ids: Column) -> Column:
-    return F.transform(ids, lambda item: F.struct(F.lit(kind).alias("kind"),
-                                                  item.alias("category_id")))
+from clickloom.operators.ranking import top_per_group
 
 
 def touches(actions: DataFrame) -> DataFrame:
     """(session_id, kind, category_id), one row per click, ordered id and paid id.
 
-    One tagged explode in place of three scans of the log.
+    One pass in place of three scans of the log: every action gives its three id lists
+    as text, and the lists it has are exploded.  No lambda runs per row, so the whole
+    chain stays in generated code.
     """
     click = F.col("click_category_id")
     order, pay = F.col("order_category_ids"), F.col("pay_category_ids")
     clicked = click.isNotNull() & (click != -1)
-    none = F.array().cast("array<bigint>")
-    lists = F.concat(
-        _tagged("click", F.when(clicked, F.array(click)).otherwise(none)),
-        _tagged("order", F.coalesce(text.id_list(order), none)),
-        _tagged("pay", F.coalesce(text.id_list(pay), none)))
+    lists = F.array(*[
+        F.struct(F.lit(kind).alias("kind"), ids.alias("ids"))
+        for kind, ids in (("click", F.when(clicked, click.cast("string"))),
+                          ("order", order), ("pay", pay))])
     return (actions.where(clicked | order.isNotNull() | pay.isNotNull())
-            .select("session_id", F.explode(lists).alias("touch"))
-            .select("session_id", "touch.kind", "touch.category_id")
+            .select("session_id", F.inline(lists)).where(F.col("ids").isNotNull())
+            .select("session_id", "kind", F.explode(F.split("ids", ",")).alias("id"))
+            .select("session_id", "kind", _category(F.col("id")))
             .where(F.col("category_id").isNotNull()))
 
 
+def _category(item: Column) -> Column:
+    return F.trim(item).cast("bigint").alias("category_id")
+
+
 def click_count(actions: DataFrame) -> DataFrame:
     click = F.col("click_category_id")
     return (actions.where(click.isNotNull() & (click != -1))
@@ -39,9 +40,9 @@ def click_count(actions: DataFrame) -> DataFrame:
 
 
 def _listed_count(actions: DataFrame, column: str, name: str) -> DataFrame:
-    ids = F.explode(text.id_list(F.col(column))).alias("category_id")
-    return (actions.where(F.col(column).isNotNull()).select(ids)
-            .groupBy("category_id").agg(F.count(F.lit(1)).alias(name)))
+    items = F.explode(F.split(F.col(column), ",")).alias("id")
+    return (actions.where(F.col(column).isNotNull()).select(items)
+            .groupBy(_category(F.col("id"))).agg(F.count(F.lit(1)).alias(name)))
 
 
 def order_count(actions: DataFrame) -> DataFrame:
@@ -73,9 +74,12 @@ def top_categories(counts: DataFrame, k: int = 10) -> DataFrame:
 
 
 def clicks_on(actions: DataFrame, top: DataFrame) -> DataFrame:
-    """Click actions on the categories of ``top``, which holds at most k rows by its
-    limit and is therefore broadcast."""
-    wanted = F.broadcast(top.select(F.col("category_id").alias("click_category_id")))
+    """Click actions on the categories of ``top``.
+
+    A top list carries its limit in its plan, so the planner knows its size and
+    broadcasts it; anything larger is joined by shuffle.
+    """
+    wanted = top.select(F.col("category_id").alias("click_category_id"))
     return actions.join(wanted, "click_category_id", "left_semi")
 
 
@@ -88,13 +92,7 @@ def session_clicks(actions: DataFrame) -> DataFrame:
 
 
 def top_sessions(counts: DataFrame, k: int = 10) -> DataFrame:
-    """The k sessions with most clicks in each category.
-
-    The literal rank bound lets every task drop all but k rows of a category before
-    the shuffle (window group limit), so one category owning most rows costs no more
-    than the others.
-    """
-    order = Window.partitionBy("category_id").orderBy(F.desc("click_count"),
-                                                      F.asc("session_id"))
-    return (counts.withColumn("rank", F.row_number().over(order))
-            .where(F.col("rank") <= k).select("category_id", "session_id", "click_count"))
+    """The k sessions with most clicks in each category; the id settles ties."""
+    ranked = top_per_group(counts, ["category_id"],
+                           [F.desc("click_count"), F.asc("session_id")], k, "session_id")
+    return ranked.select("category_id", "session_id", "click_count")

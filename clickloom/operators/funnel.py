@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 CHUNK_SECONDS = 600
@@ -28,45 +28,70 @@ def flow_table(spark: SparkSession, flow: Sequence[int]) -> DataFrame:
     return spark.createDataFrame(rows, "step int, from_page bigint, to_page bigint")
 
 
-def transitions(actions: DataFrame, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
-    """(session_id, from_page, to_page) of neighbouring actions, by time then id."""
-    # The explicit repartition is the one shuffle of the log: both branches below start
-    # from it, and equal inputs let the second branch reuse the first one's exchange.
+def _placed(actions: DataFrame, chunk_seconds: int) -> DataFrame:
+    """Actions with the page after them in their chunk, and the ids of their chunk
+    neighbours: no ``next_id`` means last of the chunk, no ``previous_id`` first.
+
+    The explicit repartition is the one shuffle of the log.
+    """
     visits = actions.select(
         "session_id", "page_id", "action_ts", "event_id",
         F.floor(F.unix_seconds("action_ts") / chunk_seconds).alias("chunk")
     ).repartition("session_id", "chunk")
-    step = F.struct(F.col("page_id").alias("page"))
     chunk = Window.partitionBy("session_id", "chunk").orderBy("action_ts", "event_id")
-    placed = visits.select("*", F.lead(step).over(chunk).alias("next"),
-                           F.lag(step).over(chunk).alias("previous"))
-    inside = placed.where(F.col("next").isNotNull()).select(
-        "session_id", F.col("page_id").alias("from_page"), F.col("next.page").alias("to_page"))
+    return visits.select("*", F.lead("page_id").over(chunk).alias("next_page"),
+                         F.lead("event_id").over(chunk).alias("next_id"),
+                         F.lag("event_id").over(chunk).alias("previous_id"))
+
+
+def transitions(actions: DataFrame, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
+    """(session_id, from_page, to_page) of neighbouring actions, by time then id."""
+    placed = _placed(actions, chunk_seconds)
+    has_next = F.col("next_id").isNotNull()
+    inside = placed.where(has_next).select(
+        "session_id", F.col("page_id").alias("from_page"), F.col("next_page").alias("to_page"))
 
     # First and last action of every chunk.  In time order the one after a last action
-    # is the first of the next chunk.
-    ends = placed.where(F.col("next").isNull() | F.col("previous").isNull())
+    # is the first of the next chunk.  The shuffle below is reused, not run again.
+    ends = placed.where(~has_next | F.col("previous_id").isNull())
     session = Window.partitionBy("session_id").orderBy("action_ts", "event_id")
-    across = (ends.select("session_id", "page_id", "next",
-                          F.lead(step).over(session).alias("following"))
-              .where(F.col("next").isNull() & F.col("following").isNotNull())
-              .select("session_id", F.col("page_id").alias("from_page"),
-                      F.col("following.page").alias("to_page")))
+    across = (ends.select("session_id", "page_id", "next_id",
+                          F.lead("page_id").over(session).alias("to_page"),
+                          F.lead("event_id").over(session).alias("following_id"))
+              .where(~has_next & F.col("following_id").isNotNull())
+              .select("session_id", F.col("page_id").alias("from_page"), "to_page"))
     return inside.unionByName(across)
 
 
-def pair_counts(moves: DataFrame, flow: Sequence[int]) -> DataFrame:
+def pair_counts(actions: DataFrame, flow: Sequence[int],
+                chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
     """Moves per step of the flow, a step nobody took as 0.
 
-    One global aggregate with a counter per step: a task sends one row.
+    The log is sorted once: each chunk is reduced, where it lies, to a counter per step
+    and its first and last page, and the moves between chunks are read off these.
     """
-    counters = [F.count_if((F.col("from_page") == a) & (F.col("to_page") == b))
-                .alias(f"step_{i}") for i, (a, b) in enumerate(flow_steps(flow), start=1)]
-    rows = [F.struct(F.lit(i).cast("int").alias("step"), F.lit(a).cast("bigint").alias("from_page"),
+    steps = list(enumerate(flow_steps(flow), start=1))
+
+    def counters(from_page: str, to_page: str, prefix: str) -> list[Column]:
+        return [F.count_if((F.col(from_page) == a) & (F.col(to_page) == b))
+                .alias(f"{prefix}{i}") for i, (a, b) in steps]
+
+    page = F.col("page_id")
+    chunks = _placed(actions, chunk_seconds).groupBy("session_id", "chunk").agg(
+        *counters("page_id", "next_page", "inside_"),
+        F.max(F.when(F.col("previous_id").isNull(), page)).alias("first_page"),
+        F.max(F.when(F.col("next_id").isNull(), page)).alias("last_page"))
+    session = Window.partitionBy("session_id").orderBy("chunk")
+    linked = chunks.select("*", F.lead("first_page").over(session).alias("following_page"))
+    totals = linked.agg(
+        *counters("last_page", "following_page", "across_"),
+        *[F.coalesce(F.sum(f"inside_{i}"), F.lit(0)).alias(f"inside_{i}") for i, _ in steps])
+    rows = [F.struct(F.lit(i).cast("int").alias("step"),
+                     F.lit(a).cast("bigint").alias("from_page"),
                      F.lit(b).cast("bigint").alias("to_page"),
-                     F.col(f"step_{i}").alias("pair_count"))
-            for i, (a, b) in enumerate(flow_steps(flow), start=1)]
-    return moves.agg(*counters).select(F.inline(F.array(*rows)))
+                     (F.col(f"inside_{i}") + F.col(f"across_{i}")).alias("pair_count"))
+            for i, (a, b) in steps]
+    return totals.select(F.inline(F.array(*rows)))
 
 
 def start_count(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
@@ -86,7 +111,7 @@ def convert_rates(actions: DataFrame, flow: Sequence[int],
         F.lit(0).alias("step"), F.lit(None).cast("bigint").alias("from_page"),
         F.lit(flow[0]).cast("bigint").alias("to_page"),
         F.col("start_count").alias("pair_count"))
-    chain = start.unionByName(pair_counts(transitions(actions, chunk_seconds), flow))
+    chain = start.unionByName(pair_counts(actions, flow, chunk_seconds))
     before = F.lag("pair_count").over(Window.partitionBy(F.lit(1)).orderBy("step"))
     return (chain.select("*", before.alias("before")).where(F.col("step") > 0)
             .select("step", F.concat_ws("_", "from_page", "to_page").alias("page_pair"),

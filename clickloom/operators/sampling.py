@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.operators import sessions as S
+from clickloom.operators.ranking import top_per_group
+
+# Draws up to this many session ids (a few MB) are broadcast.
+BROADCAST_SESSIONS = 100_000
 
 
 def with_hour(sessions: DataFrame) -> DataFrame:
@@ -42,35 +46,39 @@ def draw(sessions: DataFrame, sample_size: int = 100, seed: str = "0") -> DataFr
     """Sampled (session_id, start_ts, date, hour), without replacement.
 
     Sessions are put in a seeded pseudo-random order within their hour.  No quota
-    exceeds ``sample_size``, so that literal bound is applied first: every task keeps
-    at most that many rows of an hour before the shuffle, however full the hour is.
-    The exact quota is joined on afterwards.
+    exceeds ``sample_size``, so the hour is first cut to that many, which happens before
+    the shuffle, however full the hour is.  The exact quota is joined on afterwards.
     """
     slim = with_hour(sessions.select("session_id", "start_ts"))
-    order = Window.partitionBy("date", "hour").orderBy(
-        F.md5(F.concat(F.lit(seed), F.col("session_id"))), "session_id")
-    ranked = (slim.withColumn("pick", F.row_number().over(order))
-              .where(F.col("pick") <= sample_size))
+    order = [F.md5(F.concat(F.lit(seed), F.col("session_id"))), F.col("session_id")]
+    ranked = top_per_group(slim, ["date", "hour"], order, sample_size, "session_id", "pick")
     quota = quotas(hour_counts(sessions), sample_size).select("date", "hour", "quota")
     return (ranked.join(quota, ["date", "hour"]).where(F.col("pick") <= F.col("quota"))
             .select("session_id", "start_ts", "date", "hour"))
 
 
-def extract(actions: DataFrame, drawn: DataFrame) -> DataFrame:
-    """Start time, keyword list and category list of the drawn sessions.
+def of_sample(actions: DataFrame, drawn: DataFrame, sample_size: int) -> DataFrame:
+    """Actions of the drawn sessions.
 
-    Lists are gathered for drawn sessions only.  ``drawn`` has at most ``sample_size``
-    rows (day quota times days), a bound set by the caller, so it is broadcast.
+    A draw never holds more than ``sample_size`` sessions (day quota times days), so it
+    is broadcast while that number is small and left to the planner beyond.
     """
-    ids = F.broadcast(drawn.select("session_id"))
-    return S.output_columns(S.rollup(actions.join(ids, "session_id", "left_semi"))).select(
-        "session_id", "start_time", "search_keywords", "click_category_ids")
+    ids = drawn.select("session_id")
+    if sample_size <= BROADCAST_SESSIONS:
+        ids = F.broadcast(ids)
+    return actions.join(ids, "session_id", "left_semi")
+
+
+def extract(actions: DataFrame, drawn: DataFrame, sample_size: int = 100) -> DataFrame:
+    """Start time, keyword list and category list, gathered for drawn sessions only."""
+    sessions = S.rollup(of_sample(actions, drawn, sample_size))
+    return S.output_columns(sessions).select("session_id", "start_time", "search_keywords",
+                                             "click_category_ids")
 
 
-def detail(actions: DataFrame, drawn: DataFrame) -> DataFrame:
-    """Every action of the drawn sessions (``drawn`` is bounded by its sample size)."""
-    ids = F.broadcast(drawn.select("session_id"))
-    return actions.join(ids, "session_id", "left_semi").select(
+def detail(actions: DataFrame, drawn: DataFrame, sample_size: int = 100) -> DataFrame:
+    """Every action of the drawn sessions."""
+    return of_sample(actions, drawn, sample_size).select(
         "user_id", "session_id", "page_id", "action_time", "search_keyword",
         "click_category_id", "click_product_id", "order_category_ids", "order_product_ids",
         "pay_category_ids", "pay_product_ids")

@@ -273,13 +273,13 @@ def session_sample_quota(spark, d):
 @query
 def session_random_extract(spark, d):
     drawn = sampling.draw(_known_sessions(spark, d), SAMPLE_SIZE)
-    return sampling.extract(_all_actions(spark, d), drawn)
+    return sampling.extract(_all_actions(spark, d), drawn, SAMPLE_SIZE)
 
 
 @query
 def session_detail_extract(spark, d):
     drawn = sampling.draw(_known_sessions(spark, d), SAMPLE_SIZE)
-    return sampling.detail(_all_actions(spark, d), drawn)
+    return sampling.detail(_all_actions(spark, d), drawn, SAMPLE_SIZE)
 
 
 # --- page funnel ----------------------------------------------------------------------
@@ -306,7 +306,7 @@ def page_transitions(spark, d):
 
 @query
 def page_pair_counts(spark, d):
-    return funnel.pair_counts(funnel.transitions(_all_actions(spark, d)), FLOW)
+    return funnel.pair_counts(_all_actions(spark, d), FLOW)
 
 
 @query

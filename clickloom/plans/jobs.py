@@ -42,11 +42,11 @@ def session_analysis(actions: DataFrame, users: DataFrame, params: TaskParams, s
 
         pool = kept if filtered_sample else known
         drawn = sampling.draw(pool, sample_size, seed).persist(StorageLevel.MEMORY_AND_DISK)
-        store(sampling.extract(actions, drawn).select(
+        store(sampling.extract(actions, drawn, sample_size).select(
             F.col("session_id").alias("sessionid"), F.col("start_time").alias("startTime"),
             F.col("search_keywords").alias("searchKeywords"),
             F.col("click_category_ids").alias("clickCategoryIds")), "session_random_extract")
-        detail = sampling.detail(actions, drawn)
+        detail = sampling.detail(actions, drawn, sample_size)
         store(detail.toDF("userid", "sessionid", "pageid", "actionTime", "searchKeyword",
                           "clickCategoryId", "clickProductId", "orderCategoryIds",
                           "orderProductIds", "payCategoryIds", "payProductIds"),

@@ -33,19 +33,17 @@ def parse(lines: DataFrame) -> DataFrame:
     """Fields of each record, plus ``reason`` (null for a good record)."""
     part = lambda i: F.get(F.col("parts"), F.lit(i))
     number = lambda i: part(i).try_cast("bigint")
-    raw = lines.select("value", F.split("value", " ").alias("parts"))
-    typed = raw.select(
-        "value",
-        number(0).alias("ts_ms"), part(1).alias("province"), part(2).alias("city"),
+    # Exploding the one split keeps filters on the fields above it.  Pushed below, each
+    # of them would split the text again.
+    raw = lines.select("value", F.explode(F.array(F.split("value", " "))).alias("parts"))
+    return raw.select(
+        "value", number(0).alias("ts_ms"), F.timestamp_millis(number(0)).alias("ts"),
+        part(1).alias("province"), part(2).alias("city"),
         number(3).alias("userid"), number(4).alias("adid"),
-        F.size("parts").alias("n_parts"))
-    return typed.select(
-        "value", "ts_ms", F.timestamp_millis("ts_ms").alias("ts"),
-        "province", "city", "userid", "adid",
-        F.when(F.coalesce(F.col("n_parts"), F.lit(0)) < 5, "too few fields")
-        .when(F.col("ts_ms").isNull(), "bad time")
-        .when(F.col("userid").isNull(), "bad user")
-        .when(F.col("adid").isNull(), "bad ad").alias("reason"))
+        F.when(F.coalesce(F.size("parts"), F.lit(0)) < 5, "too few fields")
+        .when(number(0).isNull(), "bad time")
+        .when(number(3).isNull(), "bad user")
+        .when(number(4).isNull(), "bad ad").alias("reason"))
 
 
 def good(parsed: DataFrame) -> DataFrame:

@@ -37,7 +37,8 @@ def events_between(events: DataFrame, start: str | None, end: str | None) -> Dat
 
 
 def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("bigint")
+    # The text is {"k": n} throughout; a pattern is several times cheaper than parsing it.
+    return F.regexp_extract("props", r'"k":\s*(\d+)', 1).cast("bigint")
 
 
 def _session_id() -> Column:

@@ -35,6 +35,17 @@ def test_transitions_do_not_depend_on_the_chunk(make_actions, chunk):
     assert Counter(tuple(r) for r in found) == _brute(rows)
 
 
+@pytest.mark.parametrize("chunk", [1, 60, 10**9])
+def test_pair_counts_do_not_depend_on_the_chunk(make_actions, chunk):
+    rows = _log(600, seed=4)
+    wanted = Counter()
+    for (_, a, b), n in _brute(rows).items():
+        wanted[a, b] += n
+    found = funnel.pair_counts(make_actions(rows), (0, 1, 1, 3, 2), chunk).collect()
+    assert [(r.from_page, r.to_page, r.pair_count) for r in found] == [
+        (a, b, wanted[a, b]) for a, b in [(0, 1), (1, 1), (1, 3), (3, 2)]]
+
+
 def test_missing_page_still_separates_its_neighbours(make_actions):
     rows = [{"page_id": p, "action_time": f"2024-01-01 00:0{i}:00"}
             for i, p in enumerate([1, None, 2])]
@@ -56,7 +67,7 @@ def test_rates_chain_and_missing_steps(make_actions):
 def test_repeated_flow_step_and_no_start_page(make_actions):
     rows = [{"page_id": p, "action_time": f"2024-01-01 00:00:0{i}"}
             for i, p in enumerate([1, 2, 1, 2])]
-    counts = funnel.pair_counts(funnel.transitions(make_actions(rows)), (1, 2, 1, 2))
+    counts = funnel.pair_counts(make_actions(rows), (1, 2, 1, 2))
     assert [r.pair_count for r in counts.orderBy("step").collect()] == [2, 1, 2]
     none = funnel.convert_rates(make_actions(rows), (7, 8))
     assert [(r.pair_count, r.rate) for r in none.collect()] == [(0, None)]
