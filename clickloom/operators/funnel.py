@@ -70,11 +70,11 @@ def pair_counts(actions: DataFrame, flow: Sequence[int],
     The log is sorted once: each chunk is reduced, where it lies, to a counter per step
     and its first and last page, and the moves between chunks are read off these.
     """
-    steps = list(enumerate(flow_steps(flow), start=1))
+    steps = [(i, int(a), int(b)) for i, (a, b) in enumerate(flow_steps(flow), start=1)]
 
     def counters(from_page: str, to_page: str, prefix: str) -> list[Column]:
-        return [F.count_if((F.col(from_page) == a) & (F.col(to_page) == b))
-                .alias(f"{prefix}{i}") for i, (a, b) in steps]
+        return [F.expr(f"count_if({from_page} = {a} AND {to_page} = {b}) AS {prefix}{i}")
+                for i, a, b in steps]
 
     page = F.col("page_id")
     chunks = _placed(actions, chunk_seconds).groupBy("session_id", "chunk").agg(
@@ -85,13 +85,10 @@ def pair_counts(actions: DataFrame, flow: Sequence[int],
     linked = chunks.select("*", F.lead("first_page").over(session).alias("following_page"))
     totals = linked.agg(
         *counters("last_page", "following_page", "across_"),
-        *[F.coalesce(F.sum(f"inside_{i}"), F.lit(0)).alias(f"inside_{i}") for i, _ in steps])
-    rows = [F.struct(F.lit(i).cast("int").alias("step"),
-                     F.lit(a).cast("bigint").alias("from_page"),
-                     F.lit(b).cast("bigint").alias("to_page"),
-                     (F.col(f"inside_{i}") + F.col(f"across_{i}")).alias("pair_count"))
-            for i, (a, b) in steps]
-    return totals.select(F.inline(F.array(*rows)))
+        *[F.expr(f"coalesce(sum(inside_{i}), 0) AS inside_{i}") for i, _, _ in steps])
+    rows = ", ".join(f"struct({i} AS step, {a}L AS from_page, {b}L AS to_page, "
+                     f"inside_{i} + across_{i} AS pair_count)" for i, a, b in steps)
+    return totals.selectExpr(f"inline(array({rows}))")
 
 
 def start_count(actions: DataFrame, flow: Sequence[int]) -> DataFrame:

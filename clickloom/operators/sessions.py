@@ -94,23 +94,20 @@ def output_columns(sessions: DataFrame) -> DataFrame:
         *[c for c in ("age", "professional", "city", "sex") if c in sessions.columns])
 
 
-def _bucket_counts(length: str, names, bounds, prefix: str) -> list[Column]:
-    value = F.col(length)
+def _bucket_counts(length: str, names, bounds) -> list[Column]:
     def inside(low, high):
-        return value >= low if high is None else value.between(low, high)
-    return [F.count_if(inside(low, high)).alias(f"{prefix}_{name}")
+        return f"{length} >= {low}" if high is None else f"{length} BETWEEN {low} AND {high}"
+    return [F.expr(f"count_if({inside(low, high)}) AS {length}_{name}")
             for name, (low, high) in zip(names, bounds)]
 
 
 def visit_histogram(sessions: DataFrame) -> DataFrame:
     """Sessions per visit-length bucket; a visit of 0 seconds is in none of them."""
-    return sessions.agg(*_bucket_counts("visit_length", VISIT_BUCKETS, VISIT_BOUNDS,
-                                        "visit_length"))
+    return sessions.agg(*_bucket_counts("visit_length", VISIT_BUCKETS, VISIT_BOUNDS))
 
 
 def step_histogram(sessions: DataFrame) -> DataFrame:
-    return sessions.agg(*_bucket_counts("step_length", STEP_BUCKETS, STEP_BOUNDS,
-                                        "step_length"))
+    return sessions.agg(*_bucket_counts("step_length", STEP_BUCKETS, STEP_BOUNDS))
 
 
 def stat_ratio(sessions: DataFrame) -> DataFrame:
@@ -120,10 +117,9 @@ def stat_ratio(sessions: DataFrame) -> DataFrame:
     """
     counted = sessions.agg(
         F.count(F.lit(1)).alias("session_count"),
-        *_bucket_counts("visit_length", VISIT_BUCKETS, VISIT_BOUNDS, "visit_length"),
-        *_bucket_counts("step_length", STEP_BUCKETS, STEP_BOUNDS, "step_length"))
-    total = F.greatest(F.col("session_count"), F.lit(1))
-    return counted.select(
-        "session_count",
-        *[text.round_half_up(F.col(name) / total, 2).alias(f"{name}_ratio")
-          for name in counted.columns[1:]])
+        *_bucket_counts("visit_length", VISIT_BUCKETS, VISIT_BOUNDS),
+        *_bucket_counts("step_length", STEP_BUCKETS, STEP_BOUNDS))
+    # round() is half-up on the decimal form of the number.
+    return counted.selectExpr(
+        "session_count", *[f"round({name} / greatest(session_count, 1), 2) AS {name}_ratio"
+                           for name in counted.columns[1:]])

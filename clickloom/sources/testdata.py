@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -36,27 +36,40 @@ def events_between(events: DataFrame, start: str | None, end: str | None) -> Dat
     return events
 
 
-def _k() -> Column:
-    # The text is {"k": n} throughout; a pattern is several times cheaper than parsing it.
-    return F.regexp_extract("props", r'"k":\s*(\d+)', 1).cast("bigint")
-
-
-def _session_id() -> Column:
-    user = F.col("user_id").cast("string")
-    day = F.date_format("ts", "yyyyMMdd")
-    week = ((F.dayofmonth("ts") - 1) / 7).cast("int").cast("string")
-    kind = F.col("user_id") % 3
-    return (F.when(kind == 0, F.concat_ws("_", user, day))
-            .when(kind == 1, F.concat(user, F.lit("_w"), week))
-            .otherwise(F.concat(user, F.lit("_m"))))
-
-
-def _visit_clock(ts: Column) -> Column:
-    kind, pace = F.col("user_id") % 3, F.floor(F.col("user_id") / 3) % 4
-    base = F.when(kind == 0, 24).when(kind == 1, 168).otherwise(720)
-    factor = (F.when(pace == 0, 1).when(pace == 1, 10).when(pace == 2, 100).otherwise(400))
-    elapsed = F.unix_seconds(ts) - CLOCK_START
-    return CLOCK_START + F.floor(elapsed / (base * factor))
+# k of the event.  The text is {"k": n} throughout; a pattern is several times cheaper
+# than parsing it.
+K = r"""CAST(regexp_extract(props, '"k":\\s*(\\d+)', 1) AS BIGINT)"""
+
+SESSION_ID = """
+  CASE user_id % 3
+    WHEN 0 THEN concat(user_id, '_', date_format(ts, 'yyyyMMdd'))
+    WHEN 1 THEN concat(user_id, '_w', (day(ts) - 1) DIV 7)
+    ELSE concat(user_id, '_m') END"""
+
+VISIT_SEC = f"""
+  {CLOCK_START} + (unix_seconds(CAST(ts AS TIMESTAMP)) - {CLOCK_START}) DIV (
+    CASE user_id % 3 WHEN 0 THEN 24 WHEN 1 THEN 168 ELSE 720 END *
+    CASE (user_id DIV 3) % 4 WHEN 0 THEN 1 WHEN 1 THEN 10 WHEN 2 THEN 100 ELSE 400 END)"""
+
+ACTION_COLUMNS = (
+    "date_format(ts, 'yyyy-MM-dd') AS date",
+    "user_id",
+    f"{SESSION_ID} AS session_id",
+    "k % 10 AS page_id",
+    "date_format(ts, 'yyyy-MM-dd HH:mm:ss') AS action_time",
+    "CASE WHEN event_type = 'view' THEN concat('kw', k % 10) END AS search_keyword",
+    "CASE WHEN event_type = 'click' THEN k ELSE -1L END AS click_category_id",
+    "CASE WHEN event_type = 'click' THEN (k * 7) % 100 ELSE -1L END AS click_product_id",
+    "CASE WHEN event_type = 'signup' THEN concat(k, ',', (k + 37) % 100) END "
+    "AS order_category_ids",
+    "CAST(NULL AS STRING) AS order_product_ids",
+    "CASE WHEN event_type = 'purchase' THEN CAST(k AS STRING) END AS pay_category_ids",
+    "CAST(NULL AS STRING) AS pay_product_ids",
+    "event_id % 25 AS city_id",
+    "event_id",
+    "CAST(ts AS TIMESTAMP) AS action_ts",
+    f"{VISIT_SEC} AS visit_sec",
+)
 
 
 def actions(spark: SparkSession, sf_dir: str, start: str | None = None,
@@ -69,64 +82,31 @@ def actions(spark: SparkSession, sf_dir: str, start: str | None = None,
     events = events_between(table(spark, sf_dir, "events"), start, end)
     if kinds:
         events = events.where(F.col("event_type").isin(list(kinds)))
-    kind = F.col("event_type")
-    ts = F.col("ts").cast("timestamp")
-    k = F.col("k")
-    none = F.lit(None).cast("string")
-    return events.withColumn("k", _k()).select(
-        F.date_format("ts", "yyyy-MM-dd").alias("date"),
-        "user_id",
-        _session_id().alias("session_id"),
-        (k % 10).alias("page_id"),
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("action_time"),
-        F.when(kind == "view", F.concat(F.lit("kw"), (k % 10).cast("string")))
-        .alias("search_keyword"),
-        F.when(kind == "click", k).otherwise(F.lit(-1)).cast("bigint")
-        .alias("click_category_id"),
-        F.when(kind == "click", (k * 7) % 100).otherwise(F.lit(-1)).cast("bigint")
-        .alias("click_product_id"),
-        F.when(kind == "signup", F.concat_ws(",", k.cast("string"),
-                                             ((k + 37) % 100).cast("string")))
-        .alias("order_category_ids"),
-        none.alias("order_product_ids"),
-        F.when(kind == "purchase", k.cast("string")).alias("pay_category_ids"),
-        none.alias("pay_product_ids"),
-        (F.col("event_id") % 25).alias("city_id"),
-        "event_id",
-        ts.alias("action_ts"),
-        _visit_clock(ts).alias("visit_sec"),
-    )
+    return events.selectExpr("*", f"{K} AS k").selectExpr(*ACTION_COLUMNS)
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``user_info``; a few customers are left out so that the inner join drops rows."""
-    key = F.col("c_custkey")
     nation = table(spark, sf_dir, "nation")
-    return (table(spark, sf_dir, "customer").where(key % 50 != 49)
-            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-            .select(key.alias("user_id"),
-                    F.concat(F.lit("user"), key.cast("string")).alias("username"),
-                    F.col("c_name").alias("name"),
-                    ((key * 7) % 60).cast("int").alias("age"),
-                    F.col("c_mktsegment").alias("professional"),
-                    F.col("n_name").alias("city"),
-                    F.when(key % 2 == 0, "male").otherwise("female").alias("sex")))
+    return (table(spark, sf_dir, "customer").where("c_custkey % 50 <> 49")
+            .join(nation, F.expr("c_nationkey = n_nationkey"))
+            .selectExpr("c_custkey AS user_id", "concat('user', c_custkey) AS username",
+                        "c_name AS name", "CAST((c_custkey * 7) % 60 AS INT) AS age",
+                        "c_mktsegment AS professional", "n_name AS city",
+                        "IF(c_custkey % 2 = 0, 'male', 'female') AS sex"))
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    status = (F.col("p_size") % 2).cast("string")
-    return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.concat(F.lit('{"product_status": '), status, F.lit("}")).alias("extend_info"))
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS product_id", "p_name AS product_name",
+        """concat('{"product_status": ', p_size % 2, '}') AS extend_info""")
 
 
 def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """City to area dimension."""
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    return (nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-            .select(F.col("n_nationkey").cast("bigint").alias("city_id"),
-                    F.col("n_name").alias("city_name"), F.col("r_name").alias("area")))
+    return nation.join(region, F.expr("n_regionkey = r_regionkey")).selectExpr(
+        "CAST(n_nationkey AS BIGINT) AS city_id", "n_name AS city_name", "r_name AS area")
 
 
 # Level of each area; an area not listed is a D one.
@@ -135,11 +115,7 @@ AREA_LEVELS = {"AFRICA": "A Level", "AMERICA": "A Level", "ASIA": "B Level", "EU
 
 def ad_lines(events: DataFrame) -> DataFrame:
     """Ad click record text, one per event; works on a table and on a stream."""
-    city = F.col("event_id") % 25
-    ts = F.col("ts").cast("timestamp")
-    return events.select(
-        F.concat_ws(" ", F.unix_millis(ts).cast("string"),
-                    F.concat(F.lit("P"), (city % 5).cast("string")),
-                    F.concat(F.lit("C"), city.cast("string")),
-                    F.col("user_id").cast("string"),
-                    (_k() % 20).cast("string")).alias("value"))
+    return events.selectExpr(f"""
+      concat_ws(' ', CAST(unix_millis(CAST(ts AS TIMESTAMP)) AS STRING),
+                concat('P', (event_id % 25) % 5), concat('C', event_id % 25),
+                CAST(user_id AS STRING), CAST({K} % 20 AS STRING)) AS value""")
