@@ -63,32 +63,40 @@ def transitions(actions: DataFrame, chunk_seconds: int = CHUNK_SECONDS) -> DataF
     return inside.unionByName(across)
 
 
-def pair_counts(actions: DataFrame, flow: Sequence[int],
-                chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
-    """Moves per step of the flow, a step nobody took as 0.
+def _totals(actions: DataFrame, flow: Sequence[int], chunk_seconds: int) -> DataFrame:
+    """One row: ``step_0``, visits to the start page, and ``step_i``, moves of step i.
 
-    The log is sorted once: each chunk is reduced, where it lies, to a counter per step
-    and its first and last page, and the moves between chunks are read off these.
+    The log is read and sorted once: each chunk is reduced, where it lies, to a counter
+    per step and its first and last page, and the moves between chunks are read off
+    these.
     """
-    steps = [(i, int(a), int(b)) for i, (a, b) in enumerate(flow_steps(flow), start=1)]
+    steps = list(enumerate(flow_steps(flow), start=1))
 
     def counters(from_page: str, to_page: str, prefix: str) -> list[Column]:
-        return [F.expr(f"count_if({from_page} = {a} AND {to_page} = {b}) AS {prefix}{i}")
-                for i, a, b in steps]
+        return [F.expr(f"count_if({from_page} = {int(a)} AND {to_page} = {int(b)}) "
+                       f"AS {prefix}{i}") for i, (a, b) in steps]
 
     page = F.col("page_id")
     chunks = _placed(actions, chunk_seconds).groupBy("session_id", "chunk").agg(
+        F.count_if(page == flow[0]).alias("starts"),
         *counters("page_id", "next_page", "inside_"),
         F.max(F.when(F.col("previous_id").isNull(), page)).alias("first_page"),
         F.max(F.when(F.col("next_id").isNull(), page)).alias("last_page"))
     session = Window.partitionBy("session_id").orderBy("chunk")
     linked = chunks.select("*", F.lead("first_page").over(session).alias("following_page"))
-    totals = linked.agg(
-        *counters("last_page", "following_page", "across_"),
-        *[F.expr(f"coalesce(sum(inside_{i}), 0) AS inside_{i}") for i, _, _ in steps])
-    rows = ", ".join(f"struct({i} AS step, {a}L AS from_page, {b}L AS to_page, "
-                     f"inside_{i} + across_{i} AS pair_count)" for i, a, b in steps)
-    return totals.selectExpr(f"inline(array({rows}))")
+    across = counters("last_page", "following_page", "across_")
+    inside = [F.expr(f"coalesce(sum(inside_{i}), 0) AS inside_{i}") for i, _ in steps]
+    return linked.agg(F.expr("coalesce(sum(starts), 0) AS step_0"), *across, *inside).selectExpr(
+        "step_0", *[f"inside_{i} + across_{i} AS step_{i}" for i, _ in steps])
+
+
+def pair_counts(actions: DataFrame, flow: Sequence[int],
+                chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
+    """Moves per step of the flow, a step nobody took as 0."""
+    rows = ", ".join(f"struct({i} AS step, {int(a)}L AS from_page, {int(b)}L AS to_page, "
+                     f"step_{i} AS pair_count)"
+                     for i, (a, b) in enumerate(flow_steps(flow), start=1))
+    return _totals(actions, flow, chunk_seconds).selectExpr(f"inline(array({rows}))")
 
 
 def start_count(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
@@ -100,21 +108,11 @@ def start_count(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
 def convert_rates(actions: DataFrame, flow: Sequence[int],
                   chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
     """Count and rate of every step; the rate is taken over the step before, the first
-    one over visits to the start page, and is null over a zero.
-
-    The window runs over the flow's own steps, a table sized by the parameter.
-    """
-    start = start_count(actions, flow).select(
-        F.lit(0).alias("step"), F.lit(None).cast("bigint").alias("from_page"),
-        F.lit(flow[0]).cast("bigint").alias("to_page"),
-        F.col("start_count").alias("pair_count"))
-    chain = start.unionByName(pair_counts(actions, flow, chunk_seconds))
-    before = F.lag("pair_count").over(Window.partitionBy(F.lit(1)).orderBy("step"))
-    return (chain.select("*", before.alias("before")).where(F.col("step") > 0)
-            .select("step", F.concat_ws("_", "from_page", "to_page").alias("page_pair"),
-                    "pair_count",
-                    F.when(F.col("before") > 0, F.col("pair_count") / F.col("before"))
-                    .alias("rate")))
+    one over visits to the start page, and is null over a zero."""
+    rows = ", ".join(f"struct({i} AS step, '{int(a)}_{int(b)}' AS page_pair, "
+                     f"step_{i} AS pair_count, step_{i} / nullif(step_{i - 1}, 0) AS rate)"
+                     for i, (a, b) in enumerate(flow_steps(flow), start=1))
+    return _totals(actions, flow, chunk_seconds).selectExpr(f"inline(array({rows}))")
 
 
 def rate_string(rates: DataFrame, scale: int | None = None) -> DataFrame:
