@@ -29,8 +29,8 @@ def flow_table(spark: SparkSession, flow: Sequence[int]) -> DataFrame:
 
 
 def _placed(actions: DataFrame, chunk_seconds: int) -> DataFrame:
-    """Actions with the page after them in their chunk, and the ids of their chunk
-    neighbours: no ``next_id`` means last of the chunk, no ``previous_id`` first.
+    """Actions with the page after them in their chunk; ``is_last`` and ``is_first`` mark
+    the ends of the chunk.
 
     The explicit repartition is the one shuffle of the log.
     """
@@ -39,26 +39,26 @@ def _placed(actions: DataFrame, chunk_seconds: int) -> DataFrame:
         F.floor(F.unix_seconds("action_ts") / chunk_seconds).alias("chunk")
     ).repartition("session_id", "chunk")
     chunk = Window.partitionBy("session_id", "chunk").orderBy("action_ts", "event_id")
+    one = F.lit(1)
     return visits.select("*", F.lead("page_id").over(chunk).alias("next_page"),
-                         F.lead("event_id").over(chunk).alias("next_id"),
-                         F.lag("event_id").over(chunk).alias("previous_id"))
+                         F.lead(one).over(chunk).isNull().alias("is_last"),
+                         F.lag(one).over(chunk).isNull().alias("is_first"))
 
 
 def transitions(actions: DataFrame, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
     """(session_id, from_page, to_page) of neighbouring actions, by time then id."""
     placed = _placed(actions, chunk_seconds)
-    has_next = F.col("next_id").isNotNull()
-    inside = placed.where(has_next).select(
+    inside = placed.where("NOT is_last").select(
         "session_id", F.col("page_id").alias("from_page"), F.col("next_page").alias("to_page"))
 
     # First and last action of every chunk.  In time order the one after a last action
     # is the first of the next chunk.  The shuffle below is reused, not run again.
-    ends = placed.where(~has_next | F.col("previous_id").isNull())
+    ends = placed.where("is_last OR is_first")
     session = Window.partitionBy("session_id").orderBy("action_ts", "event_id")
-    across = (ends.select("session_id", "page_id", "next_id",
+    across = (ends.select("session_id", "page_id", "is_last",
                           F.lead("page_id").over(session).alias("to_page"),
-                          F.lead("event_id").over(session).alias("following_id"))
-              .where(~has_next & F.col("following_id").isNotNull())
+                          F.lead(F.lit(1)).over(session).isNotNull().alias("has_next"))
+              .where("is_last AND has_next")
               .select("session_id", F.col("page_id").alias("from_page"), "to_page"))
     return inside.unionByName(across)
 
@@ -80,8 +80,8 @@ def _totals(actions: DataFrame, flow: Sequence[int], chunk_seconds: int) -> Data
     chunks = _placed(actions, chunk_seconds).groupBy("session_id", "chunk").agg(
         F.count_if(page == flow[0]).alias("starts"),
         *counters("page_id", "next_page", "inside_"),
-        F.max(F.when(F.col("previous_id").isNull(), page)).alias("first_page"),
-        F.max(F.when(F.col("next_id").isNull(), page)).alias("last_page"))
+        F.max(F.when(F.col("is_first"), page)).alias("first_page"),
+        F.max(F.when(F.col("is_last"), page)).alias("last_page"))
     session = Window.partitionBy("session_id").orderBy("chunk")
     linked = chunks.select("*", F.lead("first_page").over(session).alias("following_page"))
     across = counters("last_page", "following_page", "across_")

@@ -169,5 +169,6 @@ class AdStream:
             sink(table, name)
 
     def rejects(self) -> DataFrame:
-        paths = [f"{self.root}/rejects/{b}" for b in range(self.upto() + 1)]
-        return self.spark.read.schema(schemas.AD_REJECT).parquet(*paths)
+        batch = F.regexp_extract(F.input_file_name(), r"/rejects/(\d+)/", 1).cast("bigint")
+        found = self.spark.read.schema(schemas.AD_REJECT).parquet(f"{self.root}/rejects/*")
+        return found.where(batch <= self.upto())

@@ -63,12 +63,11 @@ class DeltaLog:
 
     def everything(self, upto: int) -> DataFrame:
         """Open and archived rows as of batch ``upto``."""
-        table = self.current(upto)
-        ends = range(self.compact_every - 1, self._base_of(upto) + 1, self.compact_every)
-        archives = [f"{self.path}/archive/{b}" for b in ends]
-        if "date" not in table.columns or not archives:
+        table, base = self.current(upto), self._base_of(upto)
+        if "date" not in table.columns or base < 0:
             return table
-        return table.unionByName(self._load(archives).drop("batch_id"))
+        archived = self._load([f"{self.path}/archive/*"]).where(F.col("batch_id") <= base)
+        return table.unionByName(archived.drop("batch_id"))
 
     def due(self, batch_id: int) -> bool:
         return (batch_id + 1) % self.compact_every == 0

@@ -40,6 +40,15 @@ def minute_totals(lines: DataFrame, delay: str = DELAY) -> DataFrame:
     return counts.select(F.col("w.start").alias("minute_ts"), "adid", "click_count")
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows the watermark dropped, over the progress reports the query keeps.  Clicks of
+    one key and task are one row here, since they are counted before the watermark is
+    applied."""
+    return sum(operator["numRowsDroppedByWatermark"]
+               for progress in query.recentProgress
+               for operator in progress["stateOperators"])
+
+
 def stat_log(spark, root: str) -> dl.DeltaLog:
     return dl.DeltaLog(spark, f"{root}/stat", schemas.AD_STAT, tuple(ads.STAT), dl.LATEST)
 

@@ -163,9 +163,12 @@ def test_click_later_than_the_delay_is_dropped(spark, tmp_path):
 
     def start():
         totals = running.minute_totals(ad_log.file_lines(spark, f"{landing}/*"), "10 minutes")
-        return running.upsert(totals, log, root)
+        started.append(running.upsert(totals, log, root))
+        return started[-1]
 
+    started = []
     arrivals = [[_line(1, 7200, 1, 1)], [_line(1, 7200 - 300, 1, 1), _line(1, 7200 - 900, 1, 1)]]
     replay([_frame(spark, lines) for lines in arrivals], landing, start)
     kept = ads.trend(log.current(delta_log.last_committed(spark, f"{root}/checkpoint")))
     assert [r[1:3] for r in _rows(kept)] == [("01", "55"), ("02", "00")]
+    assert [running.late_rows(query) for query in started] == [0, 1]
