@@ -23,7 +23,7 @@ class DeltaLog:
     """``mode`` says how rows of several batches become the current table:
 
     ``add``       counts of equal keys add up
-    ``latest``    the row of the newest batch wins
+    ``latest``    the count of the newest batch wins
     ``replace``   all rows of a key come from the newest batch that has the key
     ``distinct``  set of rows
     """
@@ -99,6 +99,9 @@ class DeltaLog:
             return rows.drop("batch_id").distinct()
         if self.mode == ADD:
             return rows.groupBy(*self.keys).agg(F.sum(self.value).alias(self.value))
+        if self.mode == LATEST:
+            newest = F.max_by(self.value, "batch_id").alias(self.value)
+            return rows.groupBy(*self.keys).agg(newest)
         newest = rows.groupBy(*self.keys).agg(F.max("batch_id").alias("batch_id"))
         return rows.join(newest, [*self.keys, "batch_id"], "left_semi")
 
