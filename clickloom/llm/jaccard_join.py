@@ -40,6 +40,8 @@ LEAST, OF = 85, 100
 BITMAP = 16
 # Partitions of the n-grams by different hashes, see ``signatures``.
 SCHEMES = 6
+# Prefixes of a document that are looked through for an earlier meeting of a pair.
+FIRSTS = 48
 # n-grams of one trie node.
 NODE = 16
 # Ids up to which the documents to verify are looked up by a broadcast; beyond, by a join.
@@ -283,15 +285,17 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str,
     return map_texts(chosen, prepare, "key bigint, grams binary", carry=()).where("key IS NOT NULL")
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     """key, component (smallest key reachable) of every key in ``links`` (a, b).
 
-    Alternates star contractions; every round's edges are a stored table.
+    Alternates star contractions; every round's edges are a stored table.  With ``rounds``
+    it stops early, and a component may still be in several parts.
     """
     edges = stored(links.where("a <> b").selectExpr("greatest(a, b) AS u", "least(a, b) AS v")
                    .distinct(), "join-edges")
-    before = None
-    while True:
+    before, done = None, 0
+    while done != rounds:
+        done += 1
         # Every node's larger neighbours, then its smaller ones, move to its least neighbour.
         both = edges.union(edges.selectExpr("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).selectExpr("u", "least(u, m) AS m")
@@ -337,16 +341,22 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return stored(_verified(pairs.select("hub", "key"), sets, least, of), f"join-links-{label}")
 
     first = links(narrowed(groups.select("hub", F.col("key").alias("other")).distinct()), "hub")
-    known = stored(components(first), "join-components-hub")
+    known = stored(components(first, rounds=2), "join-components-hub")
     placed = (groups.select("sig", "key").join(known, "key", "left")
               .selectExpr("sig", "key", "coalesce(component, key) AS component"))
     open_groups = (placed.groupBy("sig")
                    .agg(F.min("component").alias("low"), F.max("component").alias("high"))
                    .where("low <> high").select("sig"))
-    rest = stored(placed.join(open_groups, "sig").join(classes, "key"), "join-rest")
+    placed = stored(placed.join(open_groups, "sig"), "join-open")
+    # A pair that shares several prefixes is wanted from the first only.  The lists are
+    # cut, as they only save repetition.
+    firsts = placed.groupBy("key").agg(F.slice(F.sort_array(F.collect_list("sig")), 1, FIRSTS)
+                                       .alias("firsts"))
+    rest = stored(placed.join(firsts.join(classes, "key"), "key"), "join-rest")
     across = (rest.alias("a").join(rest.alias("b"), F.expr(
         "a.sig = b.sig AND a.key < b.key AND a.component <> b.component")
-        & _may_link("a", "b", least, of))
+        & _may_link("a", "b", least, of)
+        & F.expr("size(filter(a.firsts, s -> s < a.sig AND array_contains(b.firsts, s))) = 0"))
         .select(F.col("a.key").alias("hub"), F.col("b.key").alias("key"),
                 F.col("a.rep").alias("hub_rep"), F.col("b.rep").alias("key_rep")).distinct())
     found = stored(components(first.union(links(across, "rest"))), "join-components")
