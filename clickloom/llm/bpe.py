@@ -88,7 +88,9 @@ class BytePairCodec:
             pass
         if len(known) > self._entries:
             known.clear()
-        for chunk in set(chunks) - known.keys():
+        for chunk in set(chunks):
+            if chunk in known:
+                continue
             ids: list[int] = []
             for word in self._word.findall(chunk):
                 ids += self.merge(word.encode())

@@ -13,7 +13,7 @@ from functools import lru_cache
 import numpy as np
 
 # Entries a worker holds; beyond them it starts afresh, which costs time, not results.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 800_000
 _BLANKS = str.maketrans("\n\t\r", "   ")
 
 
@@ -44,7 +44,7 @@ class ChunkEncoder:
             pass
         if len(known) > self._entries:
             known.clear()
-        new = list(set(chunks) - known.keys())
+        new = [chunk for chunk in set(chunks) if chunk not in known]
         for chunk, found in zip(new, self._tokenizer.encode_batch(new, add_special_tokens=False)):
             known[chunk] = np.array(found.ids, "<u4").tobytes()
         return b"".join(map(known.__getitem__, chunks))
