@@ -45,7 +45,7 @@ class ChunkEncoder:
         if len(known) > self._entries:
             known.clear()
         new = [chunk for chunk in set(chunks) if chunk not in known]
-        for chunk, found in zip(new, self._tokenizer.encode_batch(new, add_special_tokens=False)):
+        for chunk, found in zip(new, self._tokenizer.encode_batch_fast(new, add_special_tokens=False)):
             known[chunk] = np.array(found.ids, "<u4").tobytes()
         return b"".join(map(known.__getitem__, chunks))
 
