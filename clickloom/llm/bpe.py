@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from clickloom.llm.scratch import map_texts, texts
-from clickloom.llm.tokens import CACHE_ENTRIES, vocabulary
+from clickloom.llm.tokens import CACHE_ENTRIES, Generations, vocabulary
 
 VOCABULARY = "byte_bpe_50k.json"
 SHORT = 96
@@ -61,7 +61,7 @@ class BytePairCodec:
         self._odd = re.compile(r" (?:\s|\Z)")
         self._cut = re.compile(r"(?= \S)")
         self._split = re.compile("(" + "|".join(map(re.escape, self._special)) + ")")
-        self._entries, self._known = entries, {}
+        self._known = Generations(entries)
 
     def encode(self, text: str) -> bytes:
         """Ids of ``text`` as little-endian uint32."""
@@ -85,12 +85,13 @@ class BytePairCodec:
         try:
             return b"".join(map(known.__getitem__, chunks))
         except KeyError:
-            pass
-        if len(known) > self._entries:
-            known.clear()
+            known.age()
         for chunk in set(chunks):
             if chunk in known:
                 continue
+            if chunk in known.old:
+                known[chunk] = known.old[chunk]
+                continue
             ids: list[int] = []
             for word in self._word.findall(chunk):
                 ids += self.merge(word.encode())

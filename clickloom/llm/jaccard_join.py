@@ -46,7 +46,7 @@ FIRSTS = 48
 NODE = 16
 # Ids up to which the documents to verify are looked up by a broadcast; beyond, by a join.
 LOOKUP = 200_000
-_CACHE = 400_000
+_CACHE = 150_000
 
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                              0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]

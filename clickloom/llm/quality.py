@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.scratch import id_remainder, map_texts, stored, texts
+from clickloom.llm.scratch import id_remainder, in_parts, map_texts, stored, texts
 
 # At most so many labelled rows are fitted, those with the smallest hash of their id; the
 # fit then takes the same memory at every size.
@@ -229,7 +229,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, held_out: int = 5, id_col: str
     forest = train(measured, learnt, id_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             found = forest.scores(np.array(
                 [statistics(t or "") for t in batch.column(text_col).to_pylist()],
                 float).reshape(batch.num_rows, len(STATISTICS)))

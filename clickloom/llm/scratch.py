@@ -39,6 +39,13 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        text_of(text_col).alias("text"), *more)
 
 
+def in_parts(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows a few at a time, as Python copies of a whole batch of texts are large."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def map_texts(rows: DataFrame, prepare: Callable[[], Callable[[list[str]], dict[str, list]]],
               added: str, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Columns of ``rows`` named in ``carry``, plus those that a function makes of each text.
@@ -53,7 +60,7 @@ def map_texts(rows: DataFrame, prepare: Callable[[], Callable[[list[str]], dict[
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = prepare()
-        for batch in batches:
+        for batch in in_parts(batches):
             made = function(batch.column("text").to_pylist())
             arrays = [batch.column(c) for c in carry]
             arrays += [pa.array(made[f.name], f.type) for f in kinds]

@@ -14,7 +14,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.scratch import map_texts, texts
+from clickloom.llm.scratch import in_parts, map_texts, texts
 
 KINDS = ("assign", "access", "hex", "novel")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
@@ -149,7 +149,7 @@ def mask_secrets(docs: DataFrame, text_col: str = "text", length_col: str = "n_c
 
     def run(batches):
         novelty = Novelty()
-        for batch in batches:
+        for batch in in_parts(batches):
             old = batch.column(text_col).to_pylist()
             found = [scan(t, novelty, least) if t else [] for t in old]
             new = [masked(t, f) if f else t for t, f in zip(old, found)]

@@ -12,9 +12,24 @@ from functools import lru_cache
 
 import numpy as np
 
-# Entries a worker holds; beyond them it starts afresh, which costs time, not results.
-CACHE_ENTRIES = 800_000
+# Entries of one generation of a worker's cache.  A full generation becomes the old one,
+# from which what is still used moves over: memory is bounded, common words stay.
+CACHE_ENTRIES = 250_000
 _BLANKS = str.maketrans("\n\t\r", "   ")
+_MARKS = ".,;:!?"
+
+
+class Generations(dict):
+    """A dict of bounded size; ``old`` is looked up by whoever finds a key missing."""
+
+    def __init__(self, entries: int = CACHE_ENTRIES):
+        super().__init__()
+        self.entries, self.old = entries, {}
+
+    def age(self) -> None:
+        if len(self) > self.entries:
+            self.old = dict(self)
+            self.clear()
 
 
 def vocabulary(name: str) -> str:
@@ -32,8 +47,7 @@ class ChunkEncoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
-        self._entries = entries
-        self._known: dict[str, bytes] = {}
+        self._known = Generations(entries)
 
     def ids(self, text: str) -> bytes:
         chunks = text.translate(_BLANKS).split(" ")
@@ -41,14 +55,33 @@ class ChunkEncoder:
         try:
             return b"".join(map(known.__getitem__, chunks))
         except KeyError:
-            pass
-        if len(known) > self._entries:
-            known.clear()
-        new = [chunk for chunk in set(chunks) if chunk not in known]
-        for chunk, found in zip(new, self._tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[chunk] = np.array(found.ids, "<u4").tobytes()
+            known.age()
+        self._learn([chunk for chunk in set(chunks) if chunk not in known])
         return b"".join(map(known.__getitem__, chunks))
 
+    def _learn(self, new: list[str]) -> None:
+        """Make every chunk of ``new`` known.
+
+        A word and the marks behind it are encoded apart, since the encoder cuts there
+        too, and so are known to words met with other marks.
+        """
+        known, old, parts = self._known, self._known.old, {}
+        for chunk in new:
+            if chunk in old:
+                known[chunk] = old[chunk]
+                continue
+            word = chunk.rstrip(_MARKS)
+            if len(word) < len(chunk) and word[-1:].isalpha():
+                parts[chunk] = (word, chunk[len(word):])
+            else:
+                parts[chunk] = (chunk,)
+        wanted = list({p for own in parts.values() for p in own if p not in known})
+        for part, found in zip(wanted, self._tokenizer.encode_batch_fast(
+                wanted, add_special_tokens=False)):
+            known[part] = np.array(found.ids, "<u4").tobytes()
+        for chunk, own in parts.items():
+            known[chunk] = b"".join(map(known.__getitem__, own))
+
 
 @lru_cache(maxsize=2)
 def word_encoder(path: str) -> ChunkEncoder:
