@@ -15,7 +15,6 @@ import numpy as np
 # Entries of one generation of a worker's cache.  A full generation becomes the old one,
 # from which what is still used moves over: memory is bounded, common words stay.
 CACHE_ENTRIES = 250_000
-_BLANKS = str.maketrans("\n\t\r", "   ")
 _MARKS = ".,;:!?"
 
 
@@ -50,7 +49,7 @@ class ChunkEncoder:
         self._known = Generations(entries)
 
     def ids(self, text: str) -> bytes:
-        chunks = text.translate(_BLANKS).split(" ")
+        chunks = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         known = self._known
         try:
             return b"".join(map(known.__getitem__, chunks))
@@ -71,7 +70,9 @@ class ChunkEncoder:
                 known[chunk] = old[chunk]
                 continue
             word = chunk.rstrip(_MARKS)
-            if len(word) < len(chunk) and word[-1:].isalpha():
+            # A lower-case letter stays one letter, so the encoder's cut is where it looks.
+            last = word[-1:]
+            if len(word) < len(chunk) and last.isalpha() and last.islower():
                 parts[chunk] = (word, chunk[len(word):])
             else:
                 parts[chunk] = (chunk,)
