@@ -78,7 +78,6 @@ class Element:
     main: bool
     block: bool
     children: list[str] = field(default_factory=list)
-    text: list[str] = field(default_factory=list)
 
 
 @dataclass
@@ -113,7 +112,6 @@ def parse(html: str) -> tuple[list[Block], list[Element]]:
             if text:
                 own = holder()
                 blocks.append(Block(own.path, text, stack[-1].noise, own.main))
-                own.text.append(text)
 
     def close(index: int) -> None:
         # What an inline advert or the like holds is kept apart from the text around it.
@@ -215,11 +213,16 @@ def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
                 blocks, elements = parse(html)
                 merged: dict[str, tuple[list[str], list[str]]] = {}
                 for e in elements:
-                    layout, content = merged.setdefault(e.path, ([], []))
+                    layout = merged.setdefault(e.path, ([], []))[0]
                     # A paragraph more or less is no other layout.
                     layout += [c for i, c in enumerate(e.children)
                                if not i or c != e.children[i - 1]]
-                    content += e.text
+                for b in blocks:
+                    # The content of an element is all text below it.
+                    steps = b.path.split("/")
+                    for i in range(2, len(steps) + 1):
+                        if own := merged.get("/".join(steps[:i])):
+                            own[1].append(b.text)
                 out.append((host, "/", 0, _digest("\n".join(b.text for b in blocks))))
                 out += [(host, path, _digest("|".join(layout)), _digest("\n".join(content)))
                         for path, (layout, content) in merged.items()]

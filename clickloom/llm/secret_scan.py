@@ -32,7 +32,7 @@ _CONTEXT = re.compile("|".join(map(re.escape, sorted(SENSITIVE, key=len, reverse
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=~.$-]{16,}")
 REACH = 48          # characters between a sensitive word and a candidate
 AROUND = 512        # characters of surroundings on either side
-NOVEL = 0.62        # marginal compressed bytes per character from which a string is new
+NOVEL = 0.85        # marginal compressed bytes per character from which a string is new
 
 # Common pieces of program identifiers that prime the compressor.
 IDENTIFIERS = tuple((
