@@ -29,6 +29,9 @@ def _parser() -> argparse.ArgumentParser:
     ads.add_argument("--brokers")
     ads.add_argument("--topic")
     ads.add_argument("--threshold", type=int, default=100)
+    ads.add_argument("--open-days", type=int, help="reject clicks of days older than this; "
+                     "by default clicks of every day count")
+    ads.add_argument("--max-per-batch", type=int, help="records (files) a batch takes at most")
     return parser
 
 
@@ -36,9 +39,11 @@ def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = build_session(f"clickloom-{args.command}")
     if args.command == "ads":
-        lines = (ad_log.file_lines(spark, args.files) if args.files
-                 else ad_log.kafka_lines(spark, args.brokers, args.topic))
-        jobs.ad_stream(lines, args.root, threshold=args.threshold).awaitTermination()
+        lines = (ad_log.file_lines(spark, args.files, args.max_per_batch) if args.files
+                 else ad_log.kafka_lines(spark, args.brokers, args.topic,
+                                         max_per_batch=args.max_per_batch))
+        jobs.ad_stream(lines, args.root, threshold=args.threshold,
+                       open_days=args.open_days).awaitTermination()
         return
     params = TaskParams.from_json(spark, args.task)
     actions = tables.read_actions(spark, args.actions, params.start_date, params.end_date)

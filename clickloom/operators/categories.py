@@ -30,7 +30,7 @@ def touches(actions: DataFrame) -> DataFrame:
 
 
 def _category(item: Column) -> Column:
-    return F.trim(item).cast("bigint").alias("category_id")
+    return F.trim(item).try_cast("bigint").alias("category_id")
 
 
 def click_count(actions: DataFrame) -> DataFrame:
@@ -42,7 +42,8 @@ def click_count(actions: DataFrame) -> DataFrame:
 def _listed_count(actions: DataFrame, column: str, name: str) -> DataFrame:
     items = F.explode(F.split(F.col(column), ",")).alias("id")
     return (actions.where(F.col(column).isNotNull()).select(items)
-            .groupBy(_category(F.col("id"))).agg(F.count(F.lit(1)).alias(name)))
+            .select(_category(F.col("id"))).where(F.col("category_id").isNotNull())
+            .groupBy("category_id").agg(F.count(F.lit(1)).alias(name)))
 
 
 def order_count(actions: DataFrame) -> DataFrame:

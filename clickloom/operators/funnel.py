@@ -93,6 +93,8 @@ def _totals(actions: DataFrame, flow: Sequence[int], chunk_seconds: int) -> Data
 def pair_counts(actions: DataFrame, flow: Sequence[int],
                 chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
     """Moves per step of the flow, a step nobody took as 0."""
+    if len(flow) < 2:
+        return actions.sparkSession.createDataFrame([], "step int, from_page bigint, to_page bigint, pair_count bigint")
     rows = ", ".join(f"struct({i} AS step, {int(a)}L AS from_page, {int(b)}L AS to_page, "
                      f"step_{i} AS pair_count)"
                      for i, (a, b) in enumerate(flow_steps(flow), start=1))
@@ -109,6 +111,8 @@ def convert_rates(actions: DataFrame, flow: Sequence[int],
                   chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
     """Count and rate of every step; the rate is taken over the step before, the first
     one over visits to the start page, and is null over a zero."""
+    if len(flow) < 2:
+        return actions.sparkSession.createDataFrame([], "step int, page_pair string, pair_count bigint, rate double")
     rows = ", ".join(f"struct({i} AS step, '{int(a)}_{int(b)}' AS page_pair, "
                      f"step_{i} AS pair_count, step_{i} / nullif(step_{i - 1}, 0) AS rate)"
                      for i, (a, b) in enumerate(flow_steps(flow), start=1))

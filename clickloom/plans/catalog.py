@@ -36,7 +36,7 @@ SAMPLE_SIZE = 600
 THRESHOLD = 3
 LATE_DELAY = "24 hours"
 # First and last day of each arrival of the replayed log.
-ARRIVALS = (("2024-01-01", "2024-01-05"), ("2024-01-06", "2024-01-10"),
+ARRIVALS = ((None, "2024-01-05"), ("2024-01-06", "2024-01-10"),
             ("2024-01-11", "2024-01-15"), ("2024-01-16", "2024-01-20"),
             ("2024-01-21", "2024-01-25"), ("2024-01-26", None))
 

@@ -86,6 +86,6 @@ def area_top(actions: DataFrame, cities: DataFrame, products: DataFrame, sink: S
 
 
 def ad_stream(lines: DataFrame, root: str, *, threshold: int = 100,
-              every: str | None = "5 seconds", open_days: int | None = 2) -> StreamingQuery:
+              every: str | None = "5 seconds", open_days: int | None = None) -> StreamingQuery:
     """Start the real-time ad program; its tables are read through ``AdStream``."""
     return AdStream(lines.sparkSession, root, threshold, open_days=open_days).start(lines, every)

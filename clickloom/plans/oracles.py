@@ -42,7 +42,7 @@ users AS (
   SELECT c_custkey AS user_id, CAST((c_custkey * 7) % 60 AS INTEGER) AS age,
          c_mktsegment AS professional, n_name AS city,
          CASE WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex
-  FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 50 <> 49),
+  FROM customer JOIN nation ON c_nationkey = n_nationkey),
 cities AS (
   SELECT CAST(n_nationkey AS BIGINT) AS city_id, n_name AS city_name, r_name AS area
   FROM nation JOIN region ON n_regionkey = r_regionkey),

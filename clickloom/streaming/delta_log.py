@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -124,8 +125,13 @@ class DeltaLog:
 
 
 def last_committed(spark: SparkSession, checkpoint: str) -> int:
-    """Newest micro-batch the checkpoint records as finished."""
+    """Newest micro-batch the checkpoint records as finished, -1 before the first."""
     name = F.regexp_extract(F.input_file_name(), r"/(\d+)$", 1)
-    ids = spark.read.format("text").load(f"{checkpoint}/commits").select(
-        name.cast("bigint").alias("id"))
-    return ids.agg(F.max("id")).first()[0]
+    try:
+        ids = spark.read.format("text").load(f"{checkpoint}/commits").select(
+            name.try_cast("bigint").alias("id"))
+        return ids.agg(F.coalesce(F.max("id"), F.lit(-1))).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return -1
