@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clickloom.llm.scratch import map_texts, texts
+from clickloom.llm.scratch import map_texts, stored, texts
 from clickloom.llm.tokens import vocabulary, word_encoder
 
 VOCABULARY = "word_bpe_49k.json"
@@ -41,10 +41,11 @@ def length_histogram(lengths: DataFrame, length_col: str = "n_tokens") -> DataFr
     truncated_total, tokens left if every document is cut to this length; rank_upto, the
     number of documents no longer than this.  Null lengths are left out; no rows, no result.
     """
-    counts = (lengths.where(F.col(length_col).isNotNull())
-              .groupBy(F.col(length_col).cast("bigint").alias("n_tokens"))
-              .agg(F.count("*").alias("n_docs"))
-              .withColumn("block", F.expr(f"n_tokens DIV {BLOCK}")))
+    # Both levels read the counts; stored, the texts are encoded once.
+    counts = stored(lengths.where(F.col(length_col).isNotNull())
+                    .groupBy(F.col(length_col).cast("bigint").alias("n_tokens"))
+                    .agg(F.count("*").alias("n_docs"))
+                    .withColumn("block", F.expr(f"n_tokens DIV {BLOCK}")), "token-histogram")
     sums = [F.sum("n_docs").alias("block_docs"),
             F.sum(F.col("n_docs") * F.col("n_tokens")).alias("block_tokens")]
     later = W.partitionBy(F.lit(0)).orderBy(F.desc("block"))
