@@ -9,6 +9,7 @@ from clickloom.plans import jobs
 from clickloom.session import build_session
 from clickloom.sinks.outputs import parquet_sink
 from clickloom.sources import ad_log, dimensions, tables
+from clickloom.streaming.ad_stream import AdStream
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -32,6 +33,9 @@ def _parser() -> argparse.ArgumentParser:
     ads.add_argument("--open-days", type=int, help="reject clicks of days older than this; "
                      "by default clicks of every day count")
     ads.add_argument("--max-per-batch", type=int, help="records (files) a batch takes at most")
+    export = commands.add_parser("ads-export", help="write the ad tables as of the newest batch")
+    export.add_argument("--root", required=True, help="the folder that the ad program runs on")
+    export.add_argument("--out", required=True, help="folder for the result tables")
     return parser
 
 
@@ -45,6 +49,9 @@ def main(argv: list[str] | None = None) -> None:
         jobs.ad_stream(lines, args.root, threshold=args.threshold,
                        open_days=args.open_days).awaitTermination()
         return
+    if args.command == "ads-export":
+        AdStream(spark, args.root).export(parquet_sink(args.out, "overwrite"))
+        return
     params = TaskParams.from_json(spark, args.task)
     actions = tables.read_actions(spark, args.actions, params.start_date, params.end_date)
     sink = parquet_sink(args.out)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 from functools import wraps
@@ -32,8 +33,15 @@ ALL_SET = TaskParams(start_age=20, end_age=50,
                      cities=tuple(f"NATION_{i}" for i in range(16)), sex="male",
                      keywords=tuple(f"kw{i}" for i in range(7)),
                      category_ids=tuple(range(60)))
+TASK = json.dumps({
+    "startAge": "20", "endAge": "50", "professionals": ",".join(ALL_SET.professionals),
+    "cities": ",".join(ALL_SET.cities), "sex": ALL_SET.sex,
+    "keywords": ",".join(ALL_SET.keywords),
+    "categoryIds": ",".join(map(str, ALL_SET.category_ids))})
 SAMPLE_SIZE = 600
 THRESHOLD = 3
+# More clicks than anybody makes: the blacklist stays empty.
+NOBODY = 2 ** 62
 LATE_DELAY = "24 hours"
 # First and last day of each arrival of the replayed log.
 ARRIVALS = ((None, "2024-01-05"), ("2024-01-06", "2024-01-10"),
@@ -158,6 +166,12 @@ def session_filter_all(spark, d):
     return S.output_columns(_sessions(spark, d, ALL_SET))
 
 
+@query
+def session_filter_task_json(spark, d):
+    """The same filters, read from a task's JSON."""
+    return S.output_columns(_sessions(spark, d, TaskParams.from_json(spark, TASK)))
+
+
 # --- sessions -------------------------------------------------------------------------
 
 @query
@@ -450,6 +464,20 @@ def _line_stream(spark, d):
     return testdata.ad_lines(testdata.event_stream(spark, d))
 
 
+def _dealt_arrivals(spark, d, parts=3):
+    """The whole click log in arrivals that each hold clicks of all days."""
+    events = testdata.table(spark, d, "events")
+    dealt = F.pmod(F.xxhash64("event_id"), F.lit(parts))
+    return [testdata.ad_lines(events.where(dealt == part)) for part in range(parts)]
+
+
+def _run_dealt(spark, d, root, upsert):
+    """Land the dealt arrivals one by one; the totals of each go on from the state."""
+    landing = f"{root}/landing"
+    replay(_dealt_arrivals(spark, d), landing,
+           lambda: upsert(ad_log.file_lines(spark, f"{landing}/*")))
+
+
 def _finish(stream):
     stream.awaitTermination()
 
@@ -466,21 +494,24 @@ def ad_stream_ingest(spark, d):
 def ad_stat_running(spark, d):
     root = workdir.fresh_dir(spark, "stat")
     log = running.stat_log(spark, root)
-    _finish(running.upsert(running.stat_totals(_line_stream(spark, d)), log, root))
+    _run_dealt(spark, d, root,
+               lambda lines: running.upsert(running.stat_totals(lines), log, root))
     return log.current(_upto(spark, root))
 
 
 @query
 def ad_province_top3_stream(spark, d):
     root = workdir.fresh_dir(spark, "top")
-    _finish(running.upsert_with_top(running.stat_totals(_line_stream(spark, d)), root))
+    _run_dealt(spark, d, root,
+               lambda lines: running.upsert_with_top(running.stat_totals(lines), root))
     return running.top_log(spark, root).current(_upto(spark, root))
 
 
 def _minutes(spark, d):
     root = workdir.fresh_dir(spark, "minutes")
     log = running.minute_log(spark, root)
-    _finish(running.upsert(running.minute_totals(_line_stream(spark, d)), log, root))
+    _run_dealt(spark, d, root,
+               lambda lines: running.upsert(running.minute_totals(lines), log, root))
     return log.current(_upto(spark, root))
 
 
@@ -506,18 +537,18 @@ def _arrivals(spark, d):
             for start, end in ARRIVALS]
 
 
-def _late_arrivals(spark, d):
-    """The same log where every ``error`` event comes one arrival late."""
+def _late_arrivals(spark, d, by=1):
+    """The same log where every ``error`` event comes ``by`` arrivals late."""
     events = testdata.table(spark, d, "events")
-    late, on_time = F.col("event_type") == "error", F.col("event_type") != "error"
+    late = F.coalesce(F.col("event_type") == "error", F.lit(False))
     parts = [testdata.events_between(events, start, end) for start, end in ARRIVALS]
     slices = []
-    for number in range(len(parts) + 1):
+    for number in range(len(parts) + by):
         found = []
         if number < len(parts):
-            found.append(parts[number].where(on_time))
-        if number > 0:
-            found.append(parts[number - 1].where(late))
+            found.append(parts[number].where(~late))
+        if number >= by:
+            found.append(parts[number - by].where(late))
         joined = found[0] if len(found) == 1 else found[0].unionByName(found[1])
         slices.append(testdata.ad_lines(joined))
     return slices
@@ -538,29 +569,41 @@ def ad_click_trend_late(spark, d):
     return ads.trend(log.current(_upto(spark, root)))
 
 
-def _replayed(spark, d, label):
+def _replayed(spark, arrivals, label, threshold=THRESHOLD, compact_every=4):
     root = workdir.fresh_dir(spark, label)
     landing = f"{root}/landing"
 
-    def start():
-        # A new program object each time: all it needs is under ``root``.
-        program = AdStream(spark, root, threshold=THRESHOLD, compact_every=4)
-        return program.start(ad_log.file_lines(spark, f"{landing}/*"), every=None)
+    def program():
+        # A new object each time: all it needs is under ``root``.
+        return AdStream(spark, root, threshold=threshold, compact_every=compact_every)
 
-    replay(_arrivals(spark, d), landing, start)
-    return AdStream(spark, root, threshold=THRESHOLD, compact_every=4)
+    replay(arrivals, landing,
+           lambda: program().start(ad_log.file_lines(spark, f"{landing}/*"), every=None))
+    return program()
 
 
 @query
 def ad_stream_blacklist_replay(spark, d):
     """Totals per user, day and ad of the clicks that got past the blacklist."""
-    return _replayed(spark, d, "blacklist").user_day()
+    return _replayed(spark, _arrivals(spark, d), "blacklist").user_day()
 
 
 @query
 def ad_stream_restart(spark, d):
     """Daily totals after a restart of the program at every arrival."""
-    return _replayed(spark, d, "restart").ad_stat()
+    return _replayed(spark, _arrivals(spark, d), "restart").ad_stat()
+
+
+@query
+def ad_stream_late_days(spark, d):
+    """Daily totals where some clicks come two arrivals, up to ten days, late."""
+    return _replayed(spark, _late_arrivals(spark, d, by=2), "late-days", NOBODY, 2).ad_stat()
+
+
+@query
+def ad_click_trend_last_hour(spark, d):
+    """Clicks per minute and ad in the hour up to the newest minute."""
+    return _replayed(spark, _dealt_arrivals(spark, d), "hour", NOBODY, 2).last_hour()
 
 
 # --- sinks and merges -----------------------------------------------------------------
@@ -577,6 +620,14 @@ def table_overwrite_round_trip(spark, d):
                     "click_category_id", "order_category_ids", "pay_category_ids", "city_id"))
 
 
+@query
+def merge_insert_new(spark, d):
+    """Morning counts, and those of the afternoon for keys that the morning has not."""
+    clicks = _clicks(spark, d)
+    return merges.insert_new(ads.user_day_count(_morning(clicks)),
+                             ads.user_day_count(_afternoon(clicks)), ads.USER_DAY)
+
+
 @query
 def merge_add_counts(spark, d):
     clicks = _clicks(spark, d)

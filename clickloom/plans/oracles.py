@@ -213,6 +213,14 @@ OUT = ("session_id, user_id, start_time, visit_length, step_length, "
 WORDS = ", ".join(f"'kw{i}'" for i in range(7))
 NATIONS = ", ".join(f"'NATION_{i}'" for i in range(16))
 
+FILTERED = f"""
+      SELECT {OUT}, age, professional, city, sex FROM info
+      WHERE age BETWEEN 20 AND 50 AND professional IN ('BUILDING', 'MACHINERY', 'HOUSEHOLD')
+        AND city IN ({NATIONS}) AND sex = 'male'
+        AND session_id IN (SELECT session_id FROM acts WHERE search_keyword IN ({WORDS}))
+        AND session_id IN (SELECT session_id FROM acts
+                           WHERE click_category_id BETWEEN 0 AND 59)"""
+
 _SQL: dict[str, tuple[str, str]] = {
     # scans
     "action_scan_date_range": (ACTIONS, f"""
@@ -237,13 +245,8 @@ _SQL: dict[str, tuple[str, str]] = {
     "filter_category_overlap": (BASE, """
       SELECT session_id, user_id, click_category_ids FROM info
       WHERE list_has_any(string_split(click_category_ids, ','), ['10', '20', '30'])"""),
-    "session_filter_all": (BASE, f"""
-      SELECT {OUT}, age, professional, city, sex FROM info
-      WHERE age BETWEEN 20 AND 50 AND professional IN ('BUILDING', 'MACHINERY', 'HOUSEHOLD')
-        AND city IN ({NATIONS}) AND sex = 'male'
-        AND session_id IN (SELECT session_id FROM acts WHERE search_keyword IN ({WORDS}))
-        AND session_id IN (SELECT session_id FROM acts
-                           WHERE click_category_id BETWEEN 0 AND 59)"""),
+    "session_filter_all": (BASE, FILTERED),
+    "session_filter_task_json": (BASE, FILTERED),
     # sessions
     "session_rollup": (BASE, f"SELECT {OUT} FROM sess"),
     "session_full_info": (BASE, f"SELECT {OUT}, age, professional, city, sex FROM info"),
@@ -364,11 +367,20 @@ _SQL: dict[str, tuple[str, str]] = {
     "ad_stream_restart": (ADS, """
       SELECT date, province, city, adid, count(*) AS click_count FROM passed
       GROUP BY 1, 2, 3, 4"""),
+    "ad_stream_late_days": (ADS, "SELECT * FROM stats"),
+    "ad_click_trend_last_hour": (ADS, """
+      SELECT * FROM trend WHERE strptime(date || hour || minute, '%Y%m%d%H%M') >
+        (SELECT max(strptime(date || hour || minute, '%Y%m%d%H%M')) FROM trend)
+        - INTERVAL 60 MINUTE"""),
     # sinks and merges
     "table_overwrite_round_trip": (ACTIONS, f"""
       SELECT date, event_id, user_id, session_id, page_id, action_time, search_keyword,
              click_category_id, order_category_ids, pay_category_ids, city_id
       FROM actions WHERE {RANGE}"""),
+    "merge_insert_new": (ADS, """
+      SELECT date, userid, adid,
+             coalesce(nullif(count(*) FILTER (hour < '12'), 0), count(*)) AS click_count
+      FROM clk GROUP BY 1, 2, 3"""),
     "merge_add_counts": (ADS, "SELECT * FROM user_day"),
     "merge_overwrite_counts": (ADS, f"""
       SELECT coalesce(n.date, o.date) AS date, coalesce(n.province, o.province) AS province,

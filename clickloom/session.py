@@ -4,6 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
 # What the jobs rely on.  Sizes (executors, memory, shuffle partitions) belong to
 # spark-submit and are left alone here.
 BASE_CONF = {
@@ -14,9 +19,7 @@ BASE_CONF = {
     # Distinct lists are gathered per session; the default of 128 groups per task
     # sends every task to the sort-based path at once.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
-    # Running counts live in the state store: keep them off the heap.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    **STATE_STORE,
 }
 
 
@@ -34,3 +37,9 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     """Day, hour and minute keys are cut from timestamps, so the zone is fixed."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
+
+
+def off_heap_state(spark: SparkSession) -> None:
+    """Running counts live in the state store: keep them off the heap."""
+    for key, value in STATE_STORE.items():
+        spark.conf.set(key, value)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timedelta
 from functools import partial
 
 from pyspark import StorageLevel, inheritable_thread_target
@@ -94,8 +95,9 @@ class AdStream:
 
     def _set_aside(self, marked: DataFrame, batch_id: int) -> None:
         """Malformed and late records; and, if days are closed, which days were seen."""
-        (ad_log.rejects(marked).write.mode("overwrite")
-         .parquet(f"{self.root}/rejects/{batch_id}"))
+        rejected = ad_log.rejects(marked)
+        if not rejected.isEmpty():
+            rejected.write.mode("overwrite").parquet(f"{self.root}/rejects/batch_id={batch_id}")
         if self.open_days is not None:
             self.day_log.write(ad_log.good(marked).select("date").distinct(), batch_id)
             self.day_log.compact(batch_id)
@@ -154,7 +156,12 @@ class AdStream:
 
     def last_hour(self) -> DataFrame:
         """The trend of the sixty minutes up to the newest one."""
-        trend = self.click_trend()
+        day = self.trend_log.newest_day(self.upto())
+        if day is None:
+            return self.click_trend()
+        # The hour may begin on the day before.
+        before = datetime.strptime(day, "%Y%m%d") - timedelta(days=1)
+        trend = self.click_trend().where(F.col("date") >= before.strftime("%Y%m%d"))
         at = F.to_timestamp(F.concat("date", "hour", "minute"), dates.MINUTE_KEY)
         newest = trend.agg(F.max(at)).scalar()
         return trend.where(at > newest - F.expr("INTERVAL 60 MINUTES"))
@@ -169,6 +176,5 @@ class AdStream:
             sink(table, name)
 
     def rejects(self) -> DataFrame:
-        batch = F.regexp_extract(F.input_file_name(), r"/rejects/(\d+)/", 1).cast("bigint")
-        found = self.spark.read.schema(schemas.AD_REJECT).parquet(f"{self.root}/rejects/*")
-        return found.where(batch <= self.upto())
+        found = dl.load_batches(self.spark, f"{self.root}/rejects", schemas.AD_REJECT)
+        return found.where(F.col("batch_id") <= self.upto()).drop("batch_id")

@@ -5,6 +5,9 @@ first time, and a read up to batch N sees the same rows on every attempt.  Every
 ``compact_every`` batches the rows so far are resolved into a base; the batch number
 alone says which base and which folders a read needs, so nothing has to be listed or
 locked and at most ``compact_every`` folders are read.
+
+Tables with a date are stored by date, so that a batch reads only the days it touches.
+Folders that a later base stands for are removed one base later.
 """
 
 from __future__ import annotations
@@ -17,6 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ADD, LATEST, REPLACE, DISTINCT = "add", "latest", "replace", "distinct"
+# Days of one batch that a read names one by one.  A batch with more of them reads all
+# days; the rows it finds are the same.
+NAMED_DAYS = 400
 
 
 @dataclass(frozen=True)
@@ -37,20 +43,27 @@ class DeltaLog:
     value: str = "click_count"
     compact_every: int = 20
 
+    @property
+    def columns(self) -> list[str]:
+        return [column.split()[0] for column in self.schema.split(", ")]
+
+    @property
+    def dated(self) -> bool:
+        """Stored by date.  A set of dates alone is not: a file needs a column."""
+        return "date" in self.columns and len(self.columns) > 1
+
     def write(self, rows: DataFrame, batch_id: int) -> None:
-        (rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-         .write.mode("overwrite").parquet(self._delta(batch_id)))
+        self._write(rows, self._folder("delta", batch_id))
 
     def batch(self, batch_id: int) -> DataFrame:
         """The rows one batch wrote."""
-        return self._load([self._delta(batch_id)]).drop("batch_id")
+        return self._load("delta", [batch_id]).drop("batch_id")
 
     def rows(self, upto: int) -> DataFrame:
         """Unresolved rows, ``batch_id`` included, of all batches up to ``upto``."""
         base = self._base_of(upto)
-        deltas = [self._delta(b) for b in range(base + 1, upto + 1)]
-        found = self._load(deltas)
-        return found if base < 0 else found.unionByName(self._load([self._base(base)]))
+        found = self._load("delta", range(base + 1, upto + 1))
+        return found if base < 0 else found.unionByName(self._load("base", [base]))
 
     def current(self, upto: int, only: DataFrame | None = None) -> DataFrame:
         """The open part of the table as of batch ``upto``; ``only`` restricts it to the
@@ -59,16 +72,26 @@ class DeltaLog:
             return self.spark.createDataFrame([], self.schema)
         rows = self.rows(upto)
         if only is not None:
+            if self.dated and "date" in only.columns:
+                days = only.select("date").distinct().limit(NAMED_DAYS + 1).collect()
+                if len(days) <= NAMED_DAYS:
+                    rows = rows.where(F.col("date").isin([day["date"] for day in days]))
             rows = rows.join(only, only.columns, "left_semi")
         return self._resolve(rows).drop("batch_id")
 
     def everything(self, upto: int) -> DataFrame:
         """Open and archived rows as of batch ``upto``."""
         table, base = self.current(upto), self._base_of(upto)
-        if "date" not in table.columns or base < 0:
+        if not self.dated or base < 0:
             return table
-        archived = self._load([f"{self.path}/archive/*"]).where(F.col("batch_id") <= base)
-        return table.unionByName(archived.drop("batch_id"))
+        archived = load_batches(self.spark, f"{self.path}/archive", self.schema)
+        return table.unionByName(archived.where(F.col("batch_id") <= base).drop("batch_id"))
+
+    def newest_day(self, upto: int) -> str | None:
+        """Latest date with rows; read from folder names alone."""
+        if upto < 0:
+            return None
+        return self.rows(upto).agg(F.max("date").alias("day")).first()["day"]
 
     def due(self, batch_id: int) -> bool:
         return (batch_id + 1) % self.compact_every == 0
@@ -81,19 +104,39 @@ class DeltaLog:
         """
         if not self.due(batch_id):
             return
-        # A base may hold many days; ranges over the key keep its files balanced and
-        # let their statistics prune by date.
-        rows = (self._resolve(self.rows(batch_id)).drop("batch_id")
-                .withColumn("batch_id", F.lit(batch_id).cast("bigint")))
-        if "date" in rows.columns:
-            closed = F.lit(False) if closed_before is None else F.col("date") < closed_before
-            self._write_sorted(rows.where(closed), f"{self.path}/archive/{batch_id}")
+        rows = self._resolve(self.rows(batch_id)).drop("batch_id")
+        # A base may hold many days; ranges over the key keep its files balanced.
+        if self.dated and closed_before is not None:
+            closed = F.col("date") < closed_before
+            self._write_sorted(rows.where(closed), self._folder("archive", batch_id))
             rows = rows.where(~closed)
-        self._write_sorted(rows, self._base(batch_id))
+        self._write_sorted(rows, self._folder("base", batch_id))
+        self._remove_superseded(batch_id)
+
+    def _remove_superseded(self, batch_id: int) -> None:
+        """Remove what the base before this one stands for.
+
+        That base was finished ``compact_every`` batches ago.  A repeat of this batch and
+        readers of any batch since then use it, and not the folders it was made of.
+        """
+        last = batch_id - self.compact_every
+        if last < 0:
+            return
+        for old in range(last - self.compact_every + 1, last + 1):
+            self._remove(self._folder("delta", old))
+        self._remove(self._folder("base", last - self.compact_every))
+
+    def _remove(self, path: str) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
+        folder.getFileSystem(conf).delete(folder, True)
 
     def _write_sorted(self, rows: DataFrame, path: str) -> None:
-        (rows.repartitionByRange(*self.keys).sortWithinPartitions(*self.keys)
-         .write.mode("overwrite").parquet(path))
+        self._write(rows.repartitionByRange(*self.keys).sortWithinPartitions(*self.keys), path)
+
+    def _write(self, rows: DataFrame, path: str) -> None:
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        (writer.partitionBy("date") if self.dated else writer).parquet(path)
 
     def _resolve(self, rows: DataFrame) -> DataFrame:
         if self.mode == DISTINCT:
@@ -106,22 +149,38 @@ class DeltaLog:
         newest = rows.groupBy(*self.keys).agg(F.max("batch_id").alias("batch_id"))
         return rows.join(newest, [*self.keys, "batch_id"], "left_semi")
 
-    def _load(self, paths: Sequence[str]) -> DataFrame:
-        reader = self.spark.read.schema(f"{self.schema}, batch_id bigint")
-        if not paths:
-            return self.spark.createDataFrame([], f"{self.schema}, batch_id bigint")
-        return reader.parquet(*paths)
+    def _load(self, kind: str, batches: Sequence[int]) -> DataFrame:
+        return load_batches(self.spark, f"{self.path}/{kind}", self.schema, batches)
 
     def _base_of(self, upto: int) -> int:
         """Newest base a read up to ``upto`` may use.  The base of the running batch
         itself is left out, since that batch is what writes it."""
         return upto // self.compact_every * self.compact_every - 1
 
-    def _delta(self, batch_id: int) -> str:
-        return f"{self.path}/delta/{batch_id}"
+    def _folder(self, kind: str, batch_id: int) -> str:
+        return f"{self.path}/{kind}/batch_id={batch_id}"
 
-    def _base(self, batch_id: int) -> str:
-        return f"{self.path}/base/{batch_id}"
+
+def load_batches(spark: SparkSession, path: str, schema: str,
+                 batches: Sequence[int] | None = None) -> DataFrame:
+    """Rows of the ``batch_id=N`` folders under ``path``, ``batch_id`` last.
+
+    Without ``batches`` all of them; an empty table if there is no folder yet.
+    """
+    full = f"{schema}, batch_id bigint"
+    columns = [column.split()[0] for column in full.split(", ")]
+    empty = spark.createDataFrame([], full)
+    if batches is None:
+        try:
+            return spark.read.schema(full).parquet(path).select(*columns)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return empty
+    folders = [f"{path}/batch_id={number}" for number in batches]
+    if not folders:
+        return empty
+    return spark.read.schema(full).option("basePath", path).parquet(*folders).select(*columns)
 
 
 def last_committed(spark: SparkSession, checkpoint: str) -> int:

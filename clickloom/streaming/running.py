@@ -1,8 +1,9 @@
 """Declarative streaming aggregates: state in the state store, results upserted.
 
-Both group by an event-time window, so a day or minute leaves the state once the
-watermark has passed it.  In update mode each batch hands over the new total of every
-touched key; the total replaces the stored one, which makes a repeated batch harmless.
+Without a delay every click counts, however late, and the state keeps every key.  With
+one, a day or minute leaves the state once the watermark has passed it, and later clicks
+are dropped.  In update mode each batch hands over the new total of every touched key; the
+total replaces the stored one, which makes a repeated batch harmless.
 """
 
 from __future__ import annotations
@@ -14,17 +15,16 @@ from pyspark.sql.streaming import StreamingQuery
 from clickloom import schemas
 from clickloom.functions import dates
 from clickloom.operators import ads
+from clickloom.session import off_heap_state
 from clickloom.sources import ad_log
 from clickloom.streaming import delta_log as dl
 
-DELAY = "10 minutes"
+def _clicks(lines: DataFrame, delay: str | None) -> DataFrame:
+    clicks = ad_log.good(ad_log.parse(lines))
+    return clicks.withWatermark("ts", delay) if delay else clicks
 
 
-def _clicks(lines: DataFrame, delay: str) -> DataFrame:
-    return ad_log.good(ad_log.parse(lines)).withWatermark("ts", delay)
-
-
-def stat_totals(lines: DataFrame, delay: str = DELAY) -> DataFrame:
+def stat_totals(lines: DataFrame, delay: str | None = None) -> DataFrame:
     """Running clicks per day, province, city and ad."""
     counts = (_clicks(lines, delay)
               .groupBy(F.window("ts", "1 day").alias("w"), "province", "city", "adid")
@@ -33,7 +33,7 @@ def stat_totals(lines: DataFrame, delay: str = DELAY) -> DataFrame:
                          "adid", "click_count")
 
 
-def minute_totals(lines: DataFrame, delay: str = DELAY) -> DataFrame:
+def minute_totals(lines: DataFrame, delay: str | None = None) -> DataFrame:
     """Running clicks per minute and ad; ``minute_ts`` is the start of the minute."""
     counts = (_clicks(lines, delay).groupBy(F.window("ts", "1 minute").alias("w"), "adid")
               .agg(ads.clicks_total()))
@@ -65,6 +65,7 @@ def top_log(spark, root: str) -> dl.DeltaLog:
 
 
 def _run(totals: DataFrame, each_batch, root: str, every: str | None) -> StreamingQuery:
+    off_heap_state(totals.sparkSession)
     writer = (totals.writeStream.outputMode("update").foreachBatch(each_batch)
               .option("checkpointLocation", f"{root}/checkpoint"))
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
