@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import argparse
+import os
 
 from clickloom.params import TaskParams
 from clickloom.plans import jobs
 from clickloom.session import build_session
-from clickloom.sinks.outputs import parquet_sink
+from clickloom.sinks.outputs import Sink, jdbc_options, jdbc_sink, parquet_sink
 from clickloom.sources import ad_log, dimensions, tables
 from clickloom.streaming.ad_stream import AdStream
 
@@ -18,7 +19,7 @@ def _parser() -> argparse.ArgumentParser:
     for name in ("session", "page", "area"):
         command = commands.add_parser(name)
         command.add_argument("--task", required=True, help="task parameters as JSON")
-        command.add_argument("--out", required=True, help="folder for the result tables")
+        _add_sink(command)
         command.add_argument("--actions", default="user_visit_action")
         command.add_argument("--users", default="user_info")
         command.add_argument("--products", default="product_info")
@@ -35,10 +36,29 @@ def _parser() -> argparse.ArgumentParser:
     ads.add_argument("--max-per-batch", type=int, help="records (files) a batch takes at most")
     export = commands.add_parser("ads-export", help="write the ad tables as of the newest batch")
     export.add_argument("--root", required=True, help="the folder that the ad program runs on")
-    export.add_argument("--out", required=True, help="folder for the result tables")
+    _add_sink(export)
     return parser
 
 
+def _add_sink(command: argparse.ArgumentParser) -> None:
+    place = command.add_mutually_exclusive_group(required=True)
+    place.add_argument("--out", help="folder for the result tables")
+    place.add_argument("--jdbc-url", help="database for the result tables")
+    command.add_argument("--jdbc-user")
+    command.add_argument("--jdbc-driver")
+    command.add_argument("--jdbc-password-variable",
+                         help="environment variable that holds the password")
+
+
+def _sink(args: argparse.Namespace, mode: str = "append") -> Sink:
+    if args.out:
+        return parquet_sink(args.out, mode)
+    variable = args.jdbc_password_variable
+    return jdbc_sink(jdbc_options(args.jdbc_url, args.jdbc_user,
+                                  os.environ[variable] if variable else None,
+                                  args.jdbc_driver), mode)
+
+
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = build_session(f"clickloom-{args.command}")
@@ -50,11 +70,11 @@ def main(argv: list[str] | None = None) -> None:
                        open_days=args.open_days).awaitTermination()
         return
     if args.command == "ads-export":
-        AdStream(spark, args.root).export(parquet_sink(args.out, "overwrite"))
+        AdStream(spark, args.root).export(_sink(args, "overwrite"))
         return
     params = TaskParams.from_json(spark, args.task)
     actions = tables.read_actions(spark, args.actions, params.start_date, params.end_date)
-    sink = parquet_sink(args.out)
+    sink = _sink(args)
     if args.command == "session":
         jobs.session_analysis(actions, spark.table(args.users), params, sink,
                               sample_size=args.sample_size)

@@ -68,6 +68,29 @@ def full_counts(actions: DataFrame) -> DataFrame:
         F.count_if(kind == "pay").alias("pay_count"))
 
 
+def touch_counts(actions: DataFrame) -> DataFrame:
+    """(session_id, kind, category_id, n): what both top lists are made of.
+
+    Touches are counted per session where they are read, so a join with the kept sessions
+    sees a row per session, kind and category.
+    """
+    return (touches(actions).groupBy("session_id", "kind", "category_id")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def totals(counts: DataFrame) -> DataFrame:
+    """The ``full_counts`` of what ``touch_counts`` has counted."""
+    return counts.groupBy("category_id").agg(*[
+        F.expr(f"coalesce(sum(n) FILTER (WHERE kind = '{kind}'), 0)").alias(f"{kind}_count")
+        for kind in ("click", "order", "pay")])
+
+
+def session_clicks_on(counts: DataFrame, top: DataFrame) -> DataFrame:
+    """Clicks per category of ``top`` and session, from ``touch_counts``."""
+    clicks = counts.where("kind = 'click'").join(top.select("category_id"), "category_id", "left_semi")
+    return clicks.select("category_id", "session_id", F.col("n").alias("click_count"))
+
+
 def top_categories(counts: DataFrame, k: int = 10) -> DataFrame:
     """By clicks, then orders, then payments; the id settles ties."""
     return counts.orderBy(F.desc("click_count"), F.desc("order_count"), F.desc("pay_count"),

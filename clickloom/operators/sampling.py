@@ -69,16 +69,22 @@ def of_sample(actions: DataFrame, drawn: DataFrame, sample_size: int) -> DataFra
     return actions.join(ids, "session_id", "left_semi")
 
 
+DETAIL = ("user_id", "session_id", "page_id", "action_time", "search_keyword",
+          "click_category_id", "click_product_id", "order_category_ids", "order_product_ids",
+          "pay_category_ids", "pay_product_ids")
+
+
+def summaries(sampled: DataFrame) -> DataFrame:
+    """Start time, keyword list and category list of every session in ``sampled``."""
+    return S.output_columns(S.rollup(sampled)).select(
+        "session_id", "start_time", "search_keywords", "click_category_ids")
+
+
 def extract(actions: DataFrame, drawn: DataFrame, sample_size: int = 100) -> DataFrame:
-    """Start time, keyword list and category list, gathered for drawn sessions only."""
-    sessions = S.rollup(of_sample(actions, drawn, sample_size))
-    return S.output_columns(sessions).select("session_id", "start_time", "search_keywords",
-                                             "click_category_ids")
+    """The summaries of the drawn sessions; lists are gathered for these only."""
+    return summaries(of_sample(actions, drawn, sample_size))
 
 
 def detail(actions: DataFrame, drawn: DataFrame, sample_size: int = 100) -> DataFrame:
     """Every action of the drawn sessions."""
-    return of_sample(actions, drawn, sample_size).select(
-        "user_id", "session_id", "page_id", "action_time", "search_keyword",
-        "click_category_id", "click_product_id", "order_category_ids", "order_product_ids",
-        "pay_category_ids", "pay_product_ids")
+    return of_sample(actions, drawn, sample_size).select(*DETAIL)

@@ -24,13 +24,20 @@ def session_analysis(actions: DataFrame, users: DataFrame, params: TaskParams, s
     """Length distribution, random sample with its details, top categories and their top
     sessions.
 
-    Sessions are rolled up and joined with their users once.  The kept table is slim
-    (no lists) and goes to memory or disk; a lost piece is computed again.
+    The log is read three times: for the sessions, for the actions of the sample, and for
+    the category counts per session that both top lists come from.  What is kept of each
+    is slim and goes to memory or disk; a lost piece is computed again.
     """
     task = task_id or new_task_id()
     seed = task if seed is None else seed
-    known = S.full_info(S.rollup(actions, clock=clock, params=params), users).drop(
-        "search_keywords", "click_category_ids").persist(StorageLevel.MEMORY_AND_DISK)
+    kept_tables: list[DataFrame] = []
+
+    def held(df: DataFrame) -> DataFrame:
+        kept_tables.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return df
+
+    known = held(S.full_info(S.rollup(actions, clock=clock, params=params), users).drop(
+        "search_keywords", "click_category_ids"))
     kept = filters.keep(known, F.col("keyword_hit"), F.col("category_hit"),
                         *filters.profile_conditions(params))
 
@@ -41,28 +48,27 @@ def session_analysis(actions: DataFrame, users: DataFrame, params: TaskParams, s
         store(S.stat_ratio(kept), "session_stat")
 
         pool = kept if filtered_sample else known
-        drawn = sampling.draw(pool, sample_size, seed).persist(StorageLevel.MEMORY_AND_DISK)
-        store(sampling.extract(actions, drawn, sample_size).select(
+        drawn = sampling.draw(pool, sample_size, seed)
+        sampled = held(sampling.of_sample(actions, drawn, sample_size)
+                       .select(*sampling.DETAIL, "action_ts"))
+        store(sampling.summaries(sampled).select(
             F.col("session_id").alias("sessionid"), F.col("start_time").alias("startTime"),
             F.col("search_keywords").alias("searchKeywords"),
             F.col("click_category_ids").alias("clickCategoryIds")), "session_random_extract")
-        detail = sampling.detail(actions, drawn, sample_size)
-        store(detail.toDF("userid", "sessionid", "pageid", "actionTime", "searchKeyword",
-                          "clickCategoryId", "clickProductId", "orderCategoryIds",
-                          "orderProductIds", "payCategoryIds", "payProductIds"),
-              "session_detail")
-        drawn.unpersist()
-
-        top = categories.top_categories(
-            categories.full_counts(S.actions_of(actions, kept))).persist()
+        store(sampled.select(*sampling.DETAIL).toDF(
+            "userid", "sessionid", "pageid", "actionTime", "searchKeyword",
+            "clickCategoryId", "clickProductId", "orderCategoryIds", "orderProductIds",
+            "payCategoryIds", "payProductIds"), "session_detail")
+
+        counts = held(S.actions_of(categories.touch_counts(actions), kept))
+        top = held(categories.top_categories(categories.totals(counts)))
         store(top.toDF("categoryid", "clickCount", "orderCount", "payCount"),
               "top10_category")
-        counts = categories.session_clicks(categories.clicks_on(actions, top))
-        store(categories.top_sessions(S.actions_of(counts, kept))
+        store(categories.top_sessions(categories.session_clicks_on(counts, top))
               .toDF("categoryid", "sessionid", "clickCount"), "top10_session")
-        top.unpersist()
     finally:
-        known.unpersist()
+        for df in kept_tables:
+            df.unpersist()
     return task
 
 

@@ -57,16 +57,22 @@ def read_jdbc(spark: SparkSession, options: dict[str, str], query: str) -> DataF
 
 def overwrite_table(df: DataFrame, name: str, path: str | None = None,
                     partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Drop and recreate a catalog table, then read it back.
+    """Replace a catalog table by ``df``, then read it back.
 
-    An action table partitioned by date lets every date range prune whole folders.
+    The rows are written to a table of another name, which takes the old one's place when
+    it is complete: ``df`` may read the table, and a failed write leaves it as it was.
+    Each version has a folder of its own below ``path`` (by default one in the warehouse);
+    folders of earlier versions stay.  An action table partitioned by date lets every date
+    range prune whole folders.
     """
     spark = df.sparkSession
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    writer = df.write.mode("overwrite")
+    version = uuid.uuid4().hex
+    fresh = f"{name}_{version}"
+    root = path or f"{spark.conf.get('spark.sql.warehouse.dir')}/{name}"
+    writer = df.write.mode("errorifexists").option("path", f"{root}/{version}")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
+    writer.saveAsTable(fresh)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
     return spark.table(name)
