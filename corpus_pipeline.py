@@ -13,6 +13,9 @@ from clickloom.llm import exact_dedup, jaccard_join, packing, quality, secret_sc
 from clickloom.llm.scratch import stored
 from clickloom.sources.testdata import table
 
+# Near copies share at least NEAR of 100 shingles of SHINGLE words (op4 has its own contract).
+SHINGLE, NEAR = 5, 80
+
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the classifier rejects."""
@@ -26,7 +29,7 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the first document of every component of near copies."""
-    return jaccard_join.keep_one(docs)
+    return jaccard_join.keep_one(docs, size=SHINGLE, least=NEAR, of=100)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

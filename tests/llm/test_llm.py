@@ -318,6 +318,29 @@ def test_held_out_languages(spark):
     assert found.join(docs, "doc_id").select(F.avg((F.col("lang_pred") == F.col("lang")).cast("int"))).first()[0] > 0.97
 
 
+def test_pipeline_drops_near_copies_of_five_words_and_four_fifths(spark):
+    rng = random.Random(17)
+    texts = []
+    for n, swaps in [(100, 2), (200, 4), (100, 3), (60, 1), (400, 9), (400, 12), (30, 1), (12, 0), (3, 1)] * 2:
+        words = [f"w{rng.randint(0, 10 ** 6)}" for _ in range(n)]
+        copy = list(words)
+        for i in range(swaps):
+            copy[(2 * i + 1) * n // (2 * swaps)] = f"swap{i}"
+        texts += [" ".join(words), " ".join(copy)]
+
+    def grams(text):
+        words = text.split()
+        return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))}
+
+    sets = [grams(t) for t in texts]
+    near = [5 * len(a & b) >= 4 * len(a | b) for a, b in zip(sets[::2], sets[1::2])]
+    assert near[:3] == [True, True, False]
+    expected = [i for i in range(len(texts)) if i % 2 == 0 or not near[i // 2]]
+    docs = spark.createDataFrame(rows(texts), SCHEMA)
+    found = corpus_pipeline.without_near_copies(spark, docs, "")
+    assert sorted(r.doc_id for r in found.collect()) == expected
+
+
 def test_pipeline_stages_keep_what_they_should(spark):
     sf_dir = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
