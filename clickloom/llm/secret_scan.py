@@ -64,11 +64,39 @@ class Novelty:
 
     def of(self, text: str, start: int, end: int) -> float:
         string = text[start:end]
-        around = (text[max(0, start - AROUND):start] + "\n" + text[end:end + AROUND] + "\n").encode()
+        around = surroundings(text, start, end).encode()
         size = lambda data: len(self._compressor.compress(data))
         return max(0, size(around + string.encode()) - size(around)) / len(string)
 
 
+def surroundings(text: str, start: int, end: int) -> str:
+    """``AROUND`` characters on either side of a string, without its other occurrences.
+
+    A copy nearby would make any string a back reference.  Of an assignment the value
+    alone counts as a copy too.
+    """
+    string = text[start:end]
+    copies = [string, *(p for p in string.split("=") if 16 <= len(p) < len(string))]
+    before, left, at = [], AROUND, start
+    while left > 0 and at > 0:
+        low = max(0, at - left)
+        found, size = max((text.rfind(c, max(0, low - len(c) + 1), at), len(c)) for c in copies)
+        piece = text[max(low, found + size) if found >= 0 else low:at]
+        before.append(piece)
+        left -= len(piece) + 1
+        at = found if found >= 0 else low
+    after, left, at = [], AROUND, end
+    while left > 0 and at < len(text):
+        high = min(len(text), at + left)
+        hits = [(f, len(c)) for c in copies if 0 <= (f := text.find(c, at, high + len(c) - 1))]
+        found, size = min(hits, key=lambda x: (x[0], -x[1])) if hits else (-1, 0)
+        piece = text[at:found if hits else high]
+        after.append(piece)
+        left -= len(piece) + 1
+        at = found + size if hits else high
+    return "".join(["\n".join(reversed(before)), "\n", "\n".join(after), "\n"])
+
+
 def base_spans(text: str, lower: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the fixed patterns, leftmost and not overlapping per kind."""
     found = []
@@ -87,11 +115,13 @@ def scan(text: str, novelty: Novelty, least: float = NOVEL) -> list[tuple[str, i
     Base spans are reported whatever their novelty.  A candidate is a string of 16 or more
     characters up to ``REACH`` after a sensitive word that overlaps no base span and
     reaches ``least``; one with letters only, or of digits only, is a name or a number.
+    Each distinct string is measured once, and all its places near a sensitive word count.
     """
     lower = text.lower()
     spans = base_spans(text, lower)
     taken = sorted(spans)
     extra: dict[tuple[int, int], float] = {}
+    measured: dict[str, float] = {}
     words = _CONTEXT.finditer(text) if any(word in lower for word in SENSITIVE) else ()
     for word in words:
         at, stop = word.end(), word.end() + REACH
@@ -104,7 +134,9 @@ def scan(text: str, novelty: Novelty, least: float = NOVEL) -> list[tuple[str, i
             if (len(own) < 16 or own.isalpha() or own.isdigit() or span in extra
                     or any(s < span[1] and span[0] < e for s, e, _ in taken)):
                 continue
-            extra[span] = novelty.of(text, *span)
+            if own not in measured:
+                measured[own] = novelty.of(text, *span)
+            extra[span] = measured[own]
     spans += [(s, e, "novel") for (s, e), value in extra.items() if value >= least]
     spans.sort(key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
     return [(k, s, e, extra[s, e] if k == "novel" else novelty.of(text, s, e)) for s, e, k in spans]

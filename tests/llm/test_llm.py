@@ -258,6 +258,23 @@ def test_secret_spans(odd, empty):
     assert secret_scan.mask_secrets(empty).count() == 0
 
 
+def test_secrets_that_occur_twice_are_found_at_both_places():
+    novelty, rng = secret_scan.Novelty(), random.Random(8)
+    for gap in (1, 30, 200, 480, 505, 520):
+        for joined in ("bearer {}", "the password is {}"):
+            key = "".join(rng.choice("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNP23456789") for _ in range(40))
+            filler = ("some words of plain text lie here " * 20)[:gap]
+            text = f"start {joined.format(key)} {filler} {joined.format(key)} and end"
+            found = [text[s:e] for k, s, e, _ in secret_scan.scan(text, novelty) if k == "novel"]
+            assert found == [key, key], gap
+            assert secret_scan.masked(text, secret_scan.scan(text, novelty)).count("[SECRET]") == 2
+            assert key not in secret_scan.surroundings(text, text.index(key), text.index(key) + 40)
+    near = "x KEYKEYKEYKEYKEY9 y KEYKEYKEYKEYKEY9 z"
+    assert secret_scan.surroundings(near, 2, 18) == "x \n y \n z\n"
+    name = "the password of international_business_document_storage is "
+    assert secret_scan.scan(name * 3, novelty) == []
+
+
 def test_plan_uses_every_piece_once():
     rng = random.Random(9)
     for _ in range(20):
