@@ -3,12 +3,17 @@
 Base kinds are patterns.  The method looks at long unbroken strings near a sensitive word
 and measures, with zstandard primed by a dictionary of identifiers, how many bytes the
 string adds to its surroundings.  Names and prose share pieces with both and add little;
-random keys add nearly all of their bytes and are reported as ``novel``.
+random keys add as much as other random strings of their length and alphabet and are
+reported as ``novel``.
 """
 
 from __future__ import annotations
 
+import random
 import re
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
+from functools import lru_cache
 
 import zstandard
 from pyspark.sql import DataFrame
@@ -23,7 +28,7 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _ASSIGN_WORDS = ("password", "passwd", "secret", "token", "api")
 
-# Words after which a long string may be a secret.
+# Words near which a long string may be a secret.
 SENSITIVE = ("passphrase", "password", "passwd", "credential", "private key", "private_key",
              "access key", "access_key", "auth", "bearer", "secret", "token", "api key",
              "api_key", "apikey", "signature", "encryption key")
@@ -32,7 +37,17 @@ _CONTEXT = re.compile("|".join(map(re.escape, sorted(SENSITIVE, key=len, reverse
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=~.$-]{16,}")
 REACH = 48          # characters between a sensitive word and a candidate
 AROUND = 512        # characters of surroundings on either side
-NOVEL = 0.85        # marginal compressed bytes per character from which a string is new
+NOVEL = 0.8         # share of a random string's marginal bytes from which a string is new
+PLENTY = 0.85       # marginal bytes a character that are enough, unless of letters only
+CONTROLS = 4        # random strings of the same length and alphabet to compare with
+LONG = 4096         # characters of the longest of them; beyond, the need grows with the length
+
+# Alphabets of random strings, the smallest first; other characters are added as they occur.
+_DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+ALPHABETS = tuple(sorted(
+    (_DIGITS, _DIGITS + "abcdef", _DIGITS + "ABCDEF", _DIGITS + "abcdefABCDEF", _LOWER, _UPPER,
+     _LOWER + "234567", _UPPER + "234567", _LOWER + _DIGITS, _UPPER + _DIGITS, _LOWER + _UPPER,
+     _LOWER + _UPPER + _DIGITS), key=len))
 
 # Common pieces of program identifiers that prime the compressor.
 IDENTIFIERS = tuple((
@@ -68,6 +83,36 @@ class Novelty:
         size = lambda data: len(self._compressor.compress(data))
         return max(0, size(around + string.encode()) - size(around)) / len(string)
 
+    def share(self, text: str, start: int, end: int) -> tuple[float, float]:
+        """Bytes per character, and their share of what random strings add at this place.
+
+        What a random string adds depends on its alphabet, its length and the surroundings;
+        compared with others like it, it reaches about 1.
+        """
+        string = text[start:end]
+        around = surroundings(text, start, end).encode()
+        base = len(self._compressor.compress(around))
+        added = lambda s: max(0, len(self._compressor.compress(around + s.encode())) - base)
+        own, size = added(string), min(len(string), LONG)
+        need = sum(map(added, controls(alphabet(string), size))) / CONTROLS * len(string) / size
+        if not string.isalpha():
+            need = min(need, PLENTY / NOVEL * len(string))
+        return own / len(string), own / max(need, 1)
+
+
+def alphabet(string: str) -> str:
+    """The smallest usual alphabet with the string's letters and digits, and its other characters."""
+    marks = {c for c in string if not (c.isascii() and c.isalnum())}
+    plain = set(string) - marks
+    return next(a for a in ALPHABETS if plain <= set(a)) + "".join(sorted(marks))
+
+
+@lru_cache(maxsize=256)
+def controls(letters: str, size: int) -> list[str]:
+    """Random strings, the same ones whenever asked for."""
+    rng = random.Random(f"{size} {letters}")
+    return ["".join(rng.choices(letters, k=size)) for _ in range(CONTROLS)]
+
 
 def surroundings(text: str, start: int, end: int) -> str:
     """``AROUND`` characters on either side of a string, without its other occurrences.
@@ -109,37 +154,58 @@ def base_spans(text: str, lower: str) -> list[tuple[int, int, str]]:
     return found + [(m.start(), m.end(), "hex") for m in _HEX.finditer(text)]
 
 
+def _candidates(text: str, words: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """(start, end) of the long strings near ``words``.
+
+    A string that holds sensitive words is a candidate as a whole, if another word is near,
+    and so is what follows or goes before a word in it.
+    """
+    if not words:
+        return
+    starts, ends = [s for s, _ in words], [e for _, e in words]
+
+    def near(start: int, end: int) -> bool:
+        last = bisect_right(ends, start) - 1
+        following = bisect_left(starts, end)
+        return (last >= 0 and start - ends[last] <= REACH
+                or following < len(words) and starts[following] - end <= REACH)
+
+    for run in _CANDIDATE.finditer(text):
+        start, end = run.span()
+        if near(start, end):
+            yield start, end
+        for i in range(bisect_right(ends, start), bisect_left(starts, end)):
+            if end - ends[i] >= 16:
+                yield ends[i], end
+            if starts[i] - start >= 16:
+                yield start, starts[i]
+
+
 def scan(text: str, novelty: Novelty, least: float = NOVEL) -> list[tuple[str, int, int, float]]:
     """(kind, start, end, novelty) by start, then kind; ends are exclusive code points.
 
     Base spans are reported whatever their novelty.  A candidate is a string of 16 or more
-    characters up to ``REACH`` after a sensitive word that overlaps no base span and
-    reaches ``least``; one with letters only, or of digits only, is a name or a number.
+    characters up to ``REACH`` before or after a sensitive word that overlaps no base span
+    and adds at least the share ``least`` of what a random string would; see ``Novelty``.
     Each distinct string is measured once, and all its places near a sensitive word count.
     """
     lower = text.lower()
     spans = base_spans(text, lower)
     taken = sorted(spans)
-    extra: dict[tuple[int, int], float] = {}
-    measured: dict[str, float] = {}
-    words = _CONTEXT.finditer(text) if any(word in lower for word in SENSITIVE) else ()
-    for word in words:
-        at, stop = word.end(), word.end() + REACH
-        # Only the start of a candidate has to be within reach; its end is then looked up.
-        while near := _CANDIDATE.search(text, at, stop + 16):
-            m = _CANDIDATE.match(text, near.start())
-            at = m.end()
-            own = m[0].rstrip(".=-")
-            span = (m.start(), m.start() + len(own))
-            if (len(own) < 16 or own.isalpha() or own.isdigit() or span in extra
-                    or any(s < span[1] and span[0] < e for s, e, _ in taken)):
-                continue
-            if own not in measured:
-                measured[own] = novelty.of(text, *span)
-            extra[span] = measured[own]
-    spans += [(s, e, "novel") for (s, e), value in extra.items() if value >= least]
+    extra: dict[tuple[int, int], tuple[float, float]] = {}
+    measured: dict[str, tuple[float, float]] = {}
+    words = [m.span() for m in _CONTEXT.finditer(text)] if any(w in lower for w in SENSITIVE) else []
+    for start, end in _candidates(text, words):
+        own = text[start:end].rstrip(".=-")
+        span = (start, start + len(own))
+        if len(own) < 16 or span in extra or any(s < span[1] and span[0] < e for s, e, _ in taken):
+            continue
+        if own not in measured:
+            measured[own] = novelty.share(text, *span)
+        extra[span] = measured[own]
+    spans += [(s, e, "novel") for (s, e), (_, share) in extra.items() if share >= least]
     spans.sort(key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
-    return [(k, s, e, extra[s, e] if k == "novel" else novelty.of(text, s, e)) for s, e, k in spans]
+    return [(k, s, e, extra[s, e][0] if k == "novel" else novelty.of(text, s, e)) for s, e, k in spans]
 
 
 FOUND = "found array<struct<kind:string,start:bigint,end:bigint,novelty:double>>"

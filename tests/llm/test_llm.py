@@ -275,6 +275,24 @@ def test_secrets_that_occur_twice_are_found_at_both_places():
     assert secret_scan.scan(name * 3, novelty) == []
 
 
+def test_random_strings_of_any_alphabet_length_and_side_are_found():
+    novelty, rng = secret_scan.Novelty(), random.Random(12)
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    upper = lower.upper()
+    for letters, size in [(lower + digits, 256), (lower + digits, 512), (upper + "234567", 128),
+                          (upper + "234567", 256), (digits + "ABCDEF", 256), (digits + "ABCDEF", 512),
+                          (lower + upper + digits + "+/", 1024), (lower + upper, 40), (lower, 64),
+                          (digits, 20), (lower + upper + digits, 9000)]:
+        key = "".join(rng.choice(letters) for _ in range(size))
+        for text in (f"the bearer is {key} here", f"use {key} as the credential here", f"private key_{key}"):
+            found = [text[s:e].strip("_") for _, s, e, _ in secret_scan.scan(text, novelty)]
+            assert found == [key], (letters, size, text[:20])
+    prose = "International offices keep the documents in storage; nations that ship goods write them down. " * 3
+    for name in ("internationalization", "AbstractSingletonProxyFactoryBean", "=" * 40, "0" * 20,
+                 "Donaudampfschifffahrtsgesellschaft"):
+        assert secret_scan.scan(f"{prose} the password of {name} is in the signature {prose}", novelty) == [], name
+
+
 def test_plan_uses_every_piece_once():
     rng = random.Random(9)
     for _ in range(20):
