@@ -4,15 +4,18 @@ Pages of a host are merged element by element: an element is its path of tags wi
 names.  For every element of the merged tree two entropies are taken over the host's
 pages: of the layouts it has (its children) and of the contents it has.  What looks and
 reads the same on page after page, such as a menu, has a low importance and is removed;
-an article's paragraphs differ and stay.  Elements whose tag, role or class says what
-they are (navigation, forms, adverts, comments, ...) need no statistics, and where a page
-marks its article, text outside it is left out.
+an article's paragraphs differ and stay.  Elements whose tag or role says what they are
+(navigation, forms, ...) need no statistics, and where a page marks its article, text
+outside it is left out.  Class names are hints: one that sounds like noise (adverts,
+comments, ...) makes an element unimportant unless it holds an article or most of the
+page's varied text, and one that sounds like an article marks it only if it holds that.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -29,6 +32,8 @@ LEAST_PAGES = 8
 LEAST_IMPORTANCE = 0.25
 # Weight of contents against layouts in the importance.
 CONTENT_WEIGHT = 0.9
+# Share of a page's varied text that is most of it.
+MOST = 0.5
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -56,7 +61,7 @@ SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "
             "tfoot": {"tbody", "tr", "td", "th"}}
 SCOPES = frozenset("ul ol dl table div article section body html".split())
 
-NOISE_TAGS = frozenset("head nav aside footer form button dialog menu input select".split())
+NOISE_TAGS = frozenset("head nav aside footer button dialog menu input select".split())
 NOISE_ROLES = frozenset(
     "navigation banner contentinfo complementary search form alert alertdialog dialog menu "
     "menubar toolbar".split())
@@ -77,6 +82,11 @@ class Element:
     noise: bool
     main: bool
     block: bool
+    # Numbers of the elements, itself and around it, whose names hint at noise or at an
+    # article; noisy ones outside an article are in ``outer`` too.
+    noisy: tuple[int, ...] = ()
+    mainly: tuple[int, ...] = ()
+    outer: tuple[int, ...] = ()
     children: list[str] = field(default_factory=list)
 
 
@@ -86,6 +96,9 @@ class Block:
     text: str
     noise: bool
     main: bool
+    noisy: tuple[int, ...] = ()
+    mainly: tuple[int, ...] = ()
+    outer: tuple[int, ...] = ()
 
 
 def _names(value: str) -> set[str]:
@@ -110,12 +123,16 @@ def parse(html: str) -> tuple[list[Block], list[Element]]:
             text = " ".join("".join(pending).split())
             pending.clear()
             if text:
-                own = holder()
-                blocks.append(Block(own.path, text, stack[-1].noise, own.main))
+                own, last = holder(), stack[-1]
+                blocks.append(Block(own.path, text, last.noise, own.main, last.noisy,
+                                    last.mainly, last.outer))
+
+    def apart(element: Element, parent: Element) -> bool:
+        return element.noise > parent.noise or len(element.noisy) > len(parent.noisy)
 
     def close(index: int) -> None:
         # What an inline advert or the like holds is kept apart from the text around it.
-        if any(e.block for e in stack[index:]) or stack[index].noise > stack[index - 1].noise:
+        if any(e.block for e in stack[index:]) or apart(stack[index], stack[index - 1]):
             flush()
         del stack[index:]
 
@@ -156,12 +173,12 @@ def parse(html: str) -> tuple[list[Block], list[Element]]:
             close(i)
         if tag in VOID:
             continue
-        element = _element(tag, token["attrs"] or "", stack[-1], block)
+        element = _element(tag, token["attrs"] or "", stack[-1], block, at)
         holder().children.append(element.path[element.path.rfind("/"):])
         if block:
             elements.append(element)
         if not (token["attrs"] or "").endswith("/") or tag not in INLINE:
-            if element.noise > stack[-1].noise:
+            if apart(element, stack[-1]):
                 flush()
             stack.append(element)
     if at < len(html):
@@ -170,7 +187,8 @@ def parse(html: str) -> tuple[list[Block], list[Element]]:
     return blocks, [e for e in elements if e.tag not in ("html", "head")]
 
 
-def _element(tag: str, attrs: str, parent: Element, block: bool) -> Element:
+def _element(tag: str, attrs: str, parent: Element, block: bool,
+             number: int) -> Element:
     found: dict[str, str] = {}
     if attrs:
         for name, *values in _ATTRIBUTE.findall(attrs):
@@ -178,15 +196,22 @@ def _element(tag: str, attrs: str, parent: Element, block: bool) -> Element:
     label = f"{found.get('class', '')} {found.get('id', '')}".strip()
     names = _names(label) if label else set()
     role = found.get("role", "").lower()
-    main = (parent.main or tag in ("article", "main") or role in ("main", "article")
-            or (tag in ("div", "section") and bool(names & MAIN_NAMES) and not names & NOISE_NAMES))
+    main = parent.main or tag in ("article", "main") or role in ("main", "article")
     noise = (parent.noise or tag in NOISE_TAGS or role in NOISE_ROLES
              or (tag == "header" and not parent.main)
-             or (names & {"header"} and not main)
-             or (tag not in ("html", "body", "main") and bool(names & NOISE_NAMES))
              or "hidden" in attrs.lower().split() or found.get("aria-hidden") == "true")
+    noisy, mainly, outer = parent.noisy, parent.mainly, parent.outer
+    if tag not in ("html", "body", "main"):
+        likely = tag in ("div", "section") and names & MAIN_NAMES and not names & NOISE_NAMES
+        if likely:
+            mainly += (number,)
+        # A form may be wrapped around a whole page.
+        if names & NOISE_NAMES or tag == "form" or (names & {"header"} and not (main or mainly)):
+            noisy += (number,)
+            outer += () if main else (number,)
     step = tag + "".join("." + _DIGITS.sub("#", n) for n in sorted(label.split()))
-    return Element(tag, f"{parent.path}/{step}", bool(noise), main, block)
+    return Element(tag, f"{parent.path}/{step}", bool(noise), main, block, noisy,
+                   mainly, outer)
 
 
 def host_of(url: Column) -> Column:
@@ -267,19 +292,33 @@ def low_importance(tree: DataFrame, least_pages: int = LEAST_PAGES,
 def main_text(html: str, low: frozenset[str]) -> str:
     """Text of the blocks that stay, in page order.
 
+    An element with a noisy name is left out with all below it, unless an article begins
+    below it or it holds ``MOST`` of the text that is not noise or of low importance.  One
+    with a main name marks the article only if it holds more than that.
+
     Within a marked article a low importance counts only for elements below it that are
     no plain paragraphs or headings; those are text even if pages repeat them.
     """
     blocks, _ = parse(html)
-    marked = any(b.main and not b.noise for b in blocks)
-    out = []
-    for b in blocks:
-        if b.noise or (marked and not b.main):
-            continue
-        if low and not (b.main and "." not in b.path.rsplit("/", 1)[-1]) and _under(b.path, low):
-            continue
-        out.append(b.text)
-    return " ".join(out)
+    kept = [b for b in blocks if not b.noise and not (
+        low and not (b.main and "." not in b.path.rsplit("/", 1)[-1]) and _under(b.path, low))]
+    holds: Counter[int] = Counter()
+    for b in kept:
+        for number in b.noisy:
+            holds[number] += len(b.text)
+    around = {n for b in blocks if b.main and not b.noise for n in b.outer}
+    most = MOST * sum(len(b.text) for b in kept)
+    noise = {n for n, size in holds.items() if size < most and n not in around}
+    kept = [b for b in kept if noise.isdisjoint(b.noisy)]
+    if any(b.main and not b.noise and noise.isdisjoint(b.noisy) for b in blocks):
+        return " ".join(b.text for b in kept if b.main)
+    holds = Counter()
+    for b in kept:
+        for number in b.mainly:
+            holds[number] += len(b.text)
+    most = MOST * sum(len(b.text) for b in kept)
+    main = {n for n, size in holds.items() if size > most}
+    return " ".join(b.text for b in kept if not main or not main.isdisjoint(b.mainly))
 
 
 def _under(path: str, low: frozenset[str]) -> bool:

@@ -146,6 +146,25 @@ def test_pages_lose_what_repeats(spark):
     assert html_extract.extract(table.limit(0)).count() == 0
 
 
+STORY = "<p>A long story about a town.</p><p>It goes on for a while, and then it ends.</p>"
+STORY_TEXT = "A long story about a town. It goes on for a while, and then it ends."
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<div class='post-meta'>By X</div><div class='content'>{STORY}</div>", f"By X {STORY_TEXT}"),
+    (f"<div class='entry-title'>T</div><div class='story-date'>May</div><div>{STORY}</div>", f"T May {STORY_TEXT}"),
+    (f"<div class='content has-sidebar'><article>{STORY}</article></div>", STORY_TEXT),
+    (f"<div class='with-nav'><div class='x'>{STORY}</div></div>", STORY_TEXT),
+    (f"<div class='no-comments'>{STORY}</div><div class='comments'>me too</div>", STORY_TEXT),
+    (f"<form><div class='page'>{STORY}</div></form>", STORY_TEXT),
+    (f"<div class='story'>{STORY}</div><div class='tease'>Read more</div>", STORY_TEXT),
+    (f"<article>{STORY}<div class='share'>Tell all</div></article>", STORY_TEXT),
+    (f"<div class='promo'>Buy</div><div class='widget'>Rain</div>{STORY}", STORY_TEXT)])
+def test_class_names_do_not_drop_the_article(page, text):
+    for whole in (page, f"<html><body class='no-comments'><nav>Home</nav>{page}<footer>c</footer></body></html>"):
+        assert html_extract.main_text(whole, frozenset()) == text
+
+
 def word_sets(text):
     words = (text or "").encode().lower().split()
     if len(words) < 4:
