@@ -26,8 +26,11 @@ from pyspark.sql import functions as F
 
 from clickloom.llm.scratch import stored, text_of
 
-# An element is judged on hosts with this many pages that have it, no fewer.
-LEAST_PAGES = 8
+# An element is judged on hosts with this many pages that have it, no fewer.  Below
+# ENOUGH_PAGES the bound is lower, by one page's share.
+LEAST_PAGES, ENOUGH_PAGES = 2, 8
+# Contents of an element that count as repeated are on two pages, and on one in so many.
+ONE_IN = 100
 # Share of the host's own variety below which an element is noise.
 LEAST_IMPORTANCE = 0.25
 # Weight of contents against layouts in the importance.
@@ -87,6 +90,8 @@ class Element:
     noisy: tuple[int, ...] = ()
     mainly: tuple[int, ...] = ()
     outer: tuple[int, ...] = ()
+    # Path of the article it is in.
+    root: str = ""
     children: list[str] = field(default_factory=list)
 
 
@@ -99,6 +104,7 @@ class Block:
     noisy: tuple[int, ...] = ()
     mainly: tuple[int, ...] = ()
     outer: tuple[int, ...] = ()
+    root: str = ""
 
 
 def _names(value: str) -> set[str]:
@@ -125,7 +131,7 @@ def parse(html: str) -> tuple[list[Block], list[Element]]:
             if text:
                 own, last = holder(), stack[-1]
                 blocks.append(Block(own.path, text, last.noise, own.main, last.noisy,
-                                    last.mainly, last.outer))
+                                    last.mainly, last.outer, own.root))
 
     def apart(element: Element, parent: Element) -> bool:
         return element.noise > parent.noise or len(element.noisy) > len(parent.noisy)
@@ -184,7 +190,7 @@ def parse(html: str) -> tuple[list[Block], list[Element]]:
     if at < len(html):
         pending.append(unescape(html[at:]))
     flush()
-    return blocks, [e for e in elements if e.tag not in ("html", "head")]
+    return blocks, [e for e in elements if e.tag not in ("html", "head", "body")]
 
 
 def _element(tag: str, attrs: str, parent: Element, block: bool,
@@ -209,9 +215,10 @@ def _element(tag: str, attrs: str, parent: Element, block: bool,
         if names & NOISE_NAMES or tag == "form" or (names & {"header"} and not (main or mainly)):
             noisy += (number,)
             outer += () if main else (number,)
-    step = tag + "".join("." + _DIGITS.sub("#", n) for n in sorted(label.split()))
-    return Element(tag, f"{parent.path}/{step}", bool(noise), main, block, noisy,
-                   mainly, outer)
+    step = tag + "".join("." + _DIGITS.sub("#", n).replace("/", "|") for n in sorted(label.split()))
+    path = f"{parent.path}/{step}"
+    return Element(tag, path, bool(noise), main, block, noisy, mainly, outer,
+                   parent.root or (path if main else ""))
 
 
 def host_of(url: Column) -> Column:
@@ -224,15 +231,14 @@ def _digest(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "big", signed=True)
 
 
-def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """host, path, pages, content and layout entropy (0 to 1) of the merged elements.
+def style_counts(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """host, path, kind (layout or content), value, n: the pages with each style of an element.
 
-    Entropies are in the base of the number of pages that have the element: 0 if all of
-    them agree, 1 if no two do.  The path ``/`` stands for the whole page.
+    ``low`` and ``high`` are the smallest and largest digest of these pages' texts.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple[str, str, int, int]] = []
+            out: list[tuple[str, str, int, int, int]] = []
             for host, html in zip(batch.column("host").to_pylist(),
                                   batch.column("html").to_pylist()):
                 blocks, elements = parse(html)
@@ -248,60 +254,93 @@ def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
                     for i in range(2, len(steps) + 1):
                         if own := merged.get("/".join(steps[:i])):
                             own[1].append(b.text)
-                out.append((host, "/", 0, _digest("\n".join(b.text for b in blocks))))
-                out += [(host, path, _digest("|".join(layout)), _digest("\n".join(content)))
+                page = _digest("\n".join(b.text for b in blocks))
+                out.append((host, "/", 0, page, page))
+                out += [(host, path, _digest("|".join(layout)), _digest("\n".join(content)), page)
                         for path, (layout, content) in merged.items()]
-            columns = list(zip(*out)) or [()] * 4
+            columns = list(zip(*out)) or [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.string(), pa.int64(),
-                                                          pa.int64()))],
-                ["host", "path", "layout", "content"])
+                                                          pa.int64(), pa.int64()))],
+                ["host", "path", "layout", "content", "page"])
 
     seen = (pages.select(host_of(F.col(url_col)).alias("host"), text_of(html_col).alias("html"))
-            .mapInArrow(run, "host string, path string, layout bigint, content bigint"))
+            .mapInArrow(run, "host string, path string, layout bigint, content bigint, page bigint"))
     # Equal styles are counted before anything is gathered by host: a host with a third of
     # all pages is combined in the map tasks and split by path.
-    counted = (seen.selectExpr("host", "path", "stack(2, 'layout', layout, 'content', content) "
-                                               "AS (kind, value)")
-               .groupBy("host", "path", "kind", "value").agg(F.count("*").alias("n")))
+    return (seen.selectExpr("host", "path", "page", "stack(2, 'layout', layout, 'content', content) "
+                                                    "AS (kind, value)")
+            .groupBy("host", "path", "kind", "value")
+            .agg(F.count("*").alias("n"), F.min("page").alias("low"), F.max("page").alias("high")))
+
+
+def style_tree(counts: DataFrame) -> DataFrame:
+    """host, path, pages, content and layout entropy (0 to 1), copies of the merged elements.
+
+    Entropies are in the base of the number of pages that have the element: 0 if all of
+    them agree, 1 if no two do.  ``copies`` tells that these pages have all the same text.
+    The path ``/`` stands for the whole page.
+    """
     n = F.col("n").cast("double")
-    by_path = counted.groupBy("host", "path", "kind").agg(
-        F.sum("n").alias("pages"), F.sum(n * F.log(n)).alias("n_log_n"))
+    by_path = counts.groupBy("host", "path", "kind").agg(
+        F.sum("n").alias("pages"), F.sum(n * F.log(n)).alias("n_log_n"),
+        (F.min("low") == F.max("high")).alias("copies"))
     entropy = F.expr("""CASE WHEN pages > 1
                         THEN greatest(0D, (ln(pages) - n_log_n / pages) / ln(pages)) ELSE 0D END""")
     value = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("entropy"))).alias(kind)
     return (by_path.withColumn("entropy", entropy).groupBy("host", "path")
-            .agg(F.max("pages").alias("pages"), value("content"), value("layout")))
+            .agg(F.max("pages").alias("pages"), value("content"), value("layout"),
+                 F.max("copies").alias("copies")))
 
 
-def low_importance(tree: DataFrame, least_pages: int = LEAST_PAGES,
+def low_importance(tree: DataFrame, counts: DataFrame, least_pages: int = LEAST_PAGES,
                    least: float = LEAST_IMPORTANCE) -> DataFrame:
-    """host, low: the paths to remove.
+    """host, low, repeats: the paths to remove, and their contents (path, value) that repeat.
 
     Importance is the weighted entropy over the entropy of the host's whole pages, so a
-    host whose pages are copies of each other loses nothing.
+    host whose pages are copies of each other loses nothing, nor does an element that only
+    copies of one page have.
     """
     whole = (tree.where("path = '/' AND pages > 1 AND content > 0")
              .select("host", F.col("content").alias("variety")))
     importance = (CONTENT_WEIGHT * F.col("content") + (1 - CONTENT_WEIGHT) * F.col("layout"))
-    return (tree.where((F.col("path") != "/") & (F.col("pages") >= least_pages))
-            .join(whole, "host").where(importance < least * F.col("variety"))
-            .groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("low")))
-
-
-def main_text(html: str, low: frozenset[str]) -> str:
+    bound = F.expr(f"{least}D * IF(pages < {ENOUGH_PAGES}, 1 - 1 / pages, 1D)")
+    low = (tree.where((F.col("path") != "/") & (F.col("pages") >= least_pages) & ~F.col("copies"))
+           .join(whole, "host").where(importance < bound * F.col("variety"))
+           .select("host", "path", "pages"))
+    repeats = (counts.where("kind = 'content' AND n > 1").join(low, ["host", "path"])
+               .where(f"n * {ONE_IN} >= pages").groupBy("host")
+               .agg(F.collect_list(F.struct("path", "value")).alias("repeats")))
+    return (low.groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("low"))
+            .join(repeats, "host", "left"))
+
+
+def main_text(html: str, low: frozenset[str],
+              repeats: frozenset[tuple[str, int]] = frozenset()) -> str:
     """Text of the blocks that stay, in page order.
 
     An element with a noisy name is left out with all below it, unless an article begins
     below it or it holds ``MOST`` of the text that is not noise or of low importance.  One
     with a main name marks the article only if it holds more than that.
 
-    Within a marked article a low importance counts only for elements below it that are
-    no plain paragraphs or headings; those are text even if pages repeat them.
+    Within a marked article a low importance counts only for elements below it.  Plain
+    paragraphs and headings, without a class, are left out only if what is repeated there
+    is on this page too and is not ``MOST`` of the article.
     """
     blocks, _ = parse(html)
-    kept = [b for b in blocks if not b.noise and not (
-        low and not (b.main and "." not in b.path.rsplit("/", 1)[-1]) and _under(b.path, low))]
+    kept = [b for b in blocks if not b.noise]
+    if low:
+        contents: dict[str, list[str]] = {}
+        for b in blocks:
+            for path in _under(b.path, low):
+                contents.setdefault(path, []).append(b.text)
+        same = {path for path, own in contents.items() if (path, _digest("\n".join(own))) in repeats}
+        plain = lambda b: b.main and "." not in b.path.rsplit("/", 1)[-1]
+        kept = [b for b in kept if plain(b) or not _under(b.path, low, b.root)]
+        gone = {id(b) for b in kept if plain(b) and _under(b.path, same, b.root)}
+        size = sum(len(b.text) for b in kept if id(b) in gone)
+        if size < MOST * sum(len(b.text) for b in kept if b.main):
+            kept = [b for b in kept if id(b) not in gone]
     holds: Counter[int] = Counter()
     for b in kept:
         for number in b.noisy:
@@ -321,10 +360,11 @@ def main_text(html: str, low: frozenset[str]) -> str:
     return " ".join(b.text for b in kept if not main or not main.isdisjoint(b.mainly))
 
 
-def _under(path: str, low: frozenset[str]) -> bool:
-    """Is the element or one of its ancestors, the body excepted, of low importance?"""
+def _under(path: str, low: frozenset[str] | set[str], root: str = "") -> list[str]:
+    """The paths in ``low`` of the element and its ancestors below ``root``."""
     steps = path.split("/")
-    return any("/".join(steps[:i]) in low for i in range(4, len(steps) + 1))
+    paths = ("/".join(steps[:i]) for i in range(2, len(steps) + 1))
+    return [p for p in paths if p in low and len(p) > len(root)]
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
@@ -334,19 +374,22 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     Null html counts as empty and gives an empty text.  Pages without a host are judged
     as one host.  Repeated rows give repeated results.
     """
-    low = stored(low_importance(style_tree(pages, url_col, html_col)), "style-tree")
+    counts = stored(style_counts(pages, url_col, html_col), "style-counts")
+    low = stored(low_importance(style_tree(counts), counts), "style-tree")
     rows = pages.select(F.col(id_col).cast("bigint").alias("page_id"),
                         F.col(url_col).cast("string").alias("url"),
                         host_of(F.col(url_col)).alias("host"), text_of(html_col).alias("html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [main_text(html, frozenset(paths or ())) for html, paths in
-                     zip(batch.column("html").to_pylist(), batch.column("low").to_pylist())]
+            found = [main_text(html, frozenset(paths or ()),
+                               frozenset((r["path"], r["value"]) for r in repeats or ()))
+                     for html, paths, repeats in zip(*(batch.column(c).to_pylist()
+                                                       for c in ("html", "low", "repeats")))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(found, pa.string()),
                  pa.array([len(t) for t in found], pa.int64())],
                 ["page_id", "url", "text", "n_chars"])
 
-    return (rows.join(low, "host", "left").select("page_id", "url", "html", "low")
+    return (rows.join(low, "host", "left").select("page_id", "url", "html", "low", "repeats")
             .mapInArrow(run, "page_id bigint, url string, text string, n_chars bigint"))

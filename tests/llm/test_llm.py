@@ -165,6 +165,27 @@ def test_class_names_do_not_drop_the_article(page, text):
         assert html_extract.main_text(whole, frozenset()) == text
 
 
+def test_repeated_parts_go_on_small_hosts_and_inside_articles(spark):
+    own = lambda host, i: f"<h1>News {host}{i}</h1><p>{host} has story {i}.<p>It ends after {i * i} days."
+    text = lambda host, i: f"News {host}{i} {host} has story {i}. It ends after {i * i} days."
+    shapes = {
+        "bare": (10, "<div class=top>Home and news</div><div class=x>{}</div>"),
+        "two": (2, "<html><body><div class=top>Home and news</div><div class=x>{}</div></body></html>"),
+        "five": (5, "<html><body><div class=top>Home</div><div class=x>{}</div><div class=legal>Ask us</div>"),
+        "article": (10, "<html><body><article><section>{}</section><p>Write to us for news.</p></article>"),
+        "box": (10, "<html><body><article><section>{}</section><div class=end><p>Write to us.</p></div></article>")}
+    pages = [(1000 * k + i, f"http://{host}.example/{i}", shape.format(own(host, i)), text(host, i))
+             for k, (host, (n, shape)) in enumerate(shapes.items()) for i in range(n)]
+    # The one article whose last paragraph is its own keeps it; copies keep all.
+    pages.append((9000, "http://article.example/own", "<html><body><article><section>Short</section><p>An own end."
+                  "</p></article>", "Short An own end."))
+    pages += [(9100 + i, "http://copies.example/", "<div class=y><p>All the same</div>", "All the same") for i in range(3)]
+    pages += [(9200, "http://copies.example/2", "<div class=z><p>Other</div>", "Other")]
+    table = spark.createDataFrame(pages, "page_id bigint, url string, html string, expected string")
+    found = {r.page_id: r.text for r in html_extract.extract(table).collect()}
+    assert found == {p[0]: p[3] for p in pages}
+
+
 def word_sets(text):
     words = (text or "").encode().lower().split()
     if len(words) < 4:
