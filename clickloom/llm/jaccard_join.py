@@ -177,19 +177,37 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> Data
                      "key bigint, n bigint, bits array<bigint>")
 
 
-def _prefixes(docs: DataFrame, id_col: str, text_col: str, size: int, least: int,
-              of: int) -> DataFrame:
-    """sig, key, hub: classes that share a prefix with a smaller one, the hub."""
+def _signed(docs: DataFrame, id_col: str, text_col: str, size: int, least: int,
+            of: int) -> DataFrame:
+    """key, sig: the prefixes of the sets; a task leaves out sets that it has seen."""
     def prepare():
+        seen: set[int | None] = set()
+
         def run(batch: list[str]) -> dict[str, list]:
-            sets = [shingles(t, size) for t in batch]
-            return {"key": [_key(s) for s in sets],
-                    "sigs": [signatures(s, least, of).view(np.int64) for s in sets]}
+            keys, sigs = [], []
+            for grams in (shingles(t, size) for t in batch):
+                key = _key(grams)
+                new = key not in seen
+                if new:
+                    if len(seen) >= _CACHE:
+                        seen.clear()
+                    seen.add(key)
+                keys.append(key)
+                sigs.append((signatures(grams, least, of) if new else grams[:0]).view(np.int64))
+            return {"key": keys, "sigs": sigs}
         return run
 
-    keyed = (map_texts(texts(docs, id_col, text_col), prepare, "key bigint, sigs array<bigint>",
-                       carry=())
-             .select("key", F.explode("sigs").alias("sig")))
+    return (map_texts(texts(docs, id_col, text_col), prepare, "key bigint, sigs array<bigint>",
+                      carry=())
+            .select("key", F.explode("sigs").alias("sig")))
+
+
+def _prefixes(docs: DataFrame, id_col: str, text_col: str, size: int, least: int,
+              of: int) -> DataFrame:
+    """sig, key, hub: classes that share a prefix with a smaller one, the hub."""
+    # Equal sets are combined before the shuffle: a class of any size reaches a signature's
+    # task as one row per map task.
+    keyed = _signed(docs, id_col, text_col, size, least, of)
     # A running first value and the row before: the window streams over a sorted group.
     return keyed.selectExpr(
         "sig", "key", "first(key) OVER (PARTITION BY sig ORDER BY key) AS hub",

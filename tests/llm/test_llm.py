@@ -228,6 +228,20 @@ def test_join_finds_every_component(spark, odd, empty):
     assert jaccard_join.jaccard_join(empty).count() == 0
 
 
+def test_a_task_sends_the_signatures_of_equal_texts_once(spark, monkeypatch):
+    texts = ["", None] + [" ".join(f"w{i}" for i in range(40))] * 1500 + [" ".join(f"v{i}" for i in range(40))] * 2
+    docs = spark.createDataFrame(rows(texts), SCHEMA).coalesce(1)
+    per_set = len(jaccard_join.signatures(jaccard_join.shingles(texts[2])))
+    plan = []
+    window = type(docs).selectExpr
+    monkeypatch.setattr(type(docs), "selectExpr", lambda self, *e: (plan.append(self), window(self, *e))[1])
+    jaccard_join._prefixes(docs, "doc_id", "text", 4, 85, 100)
+    assert plan[0].count() <= 2 * per_set + 40
+    monkeypatch.undo()
+    found = {r.doc_id: r.component_id for r in jaccard_join.jaccard_join(docs).collect()}
+    assert found == {0: 0, 1: 1} | dict.fromkeys(range(2, 1502), 2) | dict.fromkeys((1502, 1503), 1502)
+
+
 def test_linked_sets_share_a_signature():
     rng = np.random.default_rng(2)
     for n in list(range(1, 60)) + [150, 400, 1500]:
