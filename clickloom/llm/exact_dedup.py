@@ -2,9 +2,10 @@
 
 The leading bits of a text's 64-bit key are its cell of the directory.  A bucket that
 holds more rows than ``capacity`` is split on the next bit (the directory doubles) until
-it fits or the bits are used up.  Owner tasks take slots (bucket, key) and compare the
-texts of a slot byte by byte, so texts whose keys collide become a chain of entries.
-Copies are combined before the shuffle: a group of any size reaches its owner as one row
+it fits or the bits are used up.  The bucket is a label: rows are grouped by (bucket, key,
+text) and shuffled by the hash of all three, so the grouping compares the texts byte by
+byte, and texts whose keys collide are entries of their own.  No task owns a bucket.
+Copies are combined before the shuffle: a group of any size reaches its task as one row
 per map task.
 """
 
