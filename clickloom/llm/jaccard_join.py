@@ -14,15 +14,16 @@ the overlap so far, which sets with a common beginning share, and leaves a subtr
 what remains of it and of the other set cannot reach the needed overlap.
 
 Pairs.  Equal sets are one class from the start.  In a group of classes that share a
-prefix, all are compared with the first.  Only where a group still spans several
-components afterwards are the rest compared, those of different components and only if
-size and a parity bitmap allow a link.  Every link between different components is found,
-and so are the components; pairs inside one component are not spelled out.
+prefix, all are compared with the first.  A group that still spans several components
+afterwards is open: its sets are dealt into blocks, a block's sets are a trie, and those
+of every block walk through it, leaving subtrees that hold only their own component.  A
+walk joins components as it finds links, so a block tells at most one link less than it
+has components, however many pairs are near.  Groups of the same sets are walked once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -40,8 +41,8 @@ LEAST, OF = 85, 100
 BITMAP = 16
 # Partitions of the n-grams by different hashes, see ``signatures``.
 SCHEMES = 6
-# Prefixes of a document that are looked through for an earlier meeting of a pair.
-FIRSTS = 48
+# Sets of an open group in one trie, on average.
+BLOCK = 192
 # n-grams of one trie node.
 NODE = 16
 # Ids up to which the documents to verify are looked up by a broadcast; beyond, by a join.
@@ -114,6 +115,25 @@ def most_different(total: int, least: int = LEAST, of: int = OF) -> int:
     return total * (of - least) // (of + least)
 
 
+@lru_cache(maxsize=None)
+def _dealing(level: int, least: int, of: int) -> tuple[int, int]:
+    """Parts of a level, and how many more they are than n-grams may differ.
+
+    The parts beyond make up for empty ones: as many as the smallest set of the level is
+    expected to leave, and three deviations.  More parts leave more of them empty, so the
+    number is raised until it fits.
+    """
+    differ = most_different(2 * _upper(level, least, of), least, of)
+    smallest, room = _upper(max(level - 2, 0), least, of) + 1, 1
+    while differ:
+        parts = differ + room
+        empty = parts * (1 - 1 / parts) ** smallest
+        if room >= 1 + empty + 3 * empty ** 0.5:
+            break
+        room += 1
+    return differ + room, room
+
+
 def signatures(grams: np.ndarray, least: int = LEAST, of: int = OF) -> np.ndarray:
     """Prefix keys; two linked sets share at least one.
 
@@ -128,9 +148,7 @@ def signatures(grams: np.ndarray, least: int = LEAST, of: int = OF) -> np.ndarra
         return np.empty(0, np.uint64)
     own, found = size_class(len(grams), least, of), []
     for level in (own, own + 1):
-        differ = most_different(2 * _upper(level, least, of), least, of)
-        room = 1 + (2 + differ // 40 if differ else 0)
-        parts = differ + room
+        parts, room = _dealing(level, least, of)
         for scheme in range(SCHEMES):
             dealt = _mix(grams + _seed(scheme + 1))
             part = (dealt % np.uint64(parts)).astype(np.int64)
@@ -222,11 +240,12 @@ def _may_link(a: str, b: str, least: int, of: int) -> Column:
 
 
 class _Node:
-    __slots__ = ("children", "ends", "longest", "shortest")
+    __slots__ = ("children", "components", "ends", "longest", "shortest")
 
     def __init__(self):
         self.children: dict[bytes, _Node] = {}
         self.ends: list[int] = []
+        self.components: set[int] = set()
         self.longest, self.shortest = 0, 1 << 60
 
 
@@ -243,31 +262,43 @@ def build_trie(sets: list[np.ndarray]) -> _Node:
     return root
 
 
-def trie_links(own: np.ndarray, root: _Node, least: int = LEAST, of: int = OF) -> list[int]:
-    """Numbers of the sets in the trie that are linked with ``own``."""
-    linked, walk = [], [(root, 0, 0)]
+def _walk(own: np.ndarray, root: _Node, least: int, of: int, leave: Callable[[_Node], bool],
+          wanted: np.ndarray | None = None) -> Iterator[int]:
+    """Numbers of the sets in the trie that are linked with ``own``.
+
+    Subtrees are left where ``leave`` says so or the overlap cannot be reached any more.
+    """
+    walk = [(root, 0, 0)]
     while walk:
         node, depth, overlap = walk.pop()
         # Overlap needed with the shortest set below, and what can still come at best.
         need = -(-least * (len(own) + node.shortest) // (of + least))
-        if overlap + min(node.longest - depth, len(own) - overlap) < need:
+        if overlap + min(node.longest - depth, len(own) - overlap) < need or leave(node):
             continue
-        for number in node.ends:
-            if (of + least) * overlap >= least * (len(own) + depth):
-                linked.append(number)
+        if (of + least) * overlap >= least * (len(own) + depth):
+            yield from (i for i in node.ends if wanted is None or wanted[i])
         for edge, child in node.children.items():
             grams = np.frombuffer(edge, np.uint64)
             at = np.minimum(np.searchsorted(own, grams), len(own) - 1)
             walk.append((child, depth + len(grams),
                          overlap + int(np.count_nonzero(own[at] == grams))))
-    return linked
+
+
+def trie_links(own: np.ndarray, root: _Node, least: int = LEAST, of: int = OF) -> list[int]:
+    return list(_walk(own, root, least, of, lambda node: False))
+
+
+# A class as a vertex of the graph of links: ordered by its smallest id, null ids last, so
+# that the least node of a component has the component's smallest id.
+_VERTEX = "struct(rep IS NULL AS none, rep AS rep, key AS key)"
+_LINK = "a struct<none:boolean,rep:bigint,key:bigint>, b struct<none:boolean,rep:bigint,key:bigint>"
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, least: int, of: int) -> DataFrame:
-    """a, b: the pairs (hub, key) whose sets are linked."""
+    """a, b: the pairs (hub, key, and both as nodes) whose sets are linked."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hubs, keys = (batch.column(c).to_pylist() for c in ("hub", "key"))
+            hubs = batch.column("hub").to_pylist()
             own, other = batch.column("hub_grams"), batch.column("grams")
             by_hub: dict[int, list[int]] = {}
             for i, hub in enumerate(hubs):
@@ -277,13 +308,87 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: int, of: int) -> DataFra
                 trie = build_trie([np.frombuffer(other[i].as_py(), np.uint64) for i in rows])
                 grams = np.frombuffer(own[rows[0]].as_py(), np.uint64)
                 linked += [rows[i] for i in trie_links(grams, trie, least, of)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([hubs[i] for i in linked], pa.int64()),
-                 pa.array([keys[i] for i in linked], pa.int64())], ["a", "b"])
+            yield batch.select(["a", "b"]).take(pa.array(linked, pa.int64()))
 
     return (pairs.join(sets, "key")
             .join(sets.select(F.col("key").alias("hub"), F.col("grams").alias("hub_grams")), "hub")
-            .mapInArrow(run, "a bigint, b bigint"))
+            .mapInArrow(run, _LINK))
+
+
+def block_links(sets: list[np.ndarray], components: list, blocks: list[int], least: int = LEAST,
+                of: int = OF) -> list[tuple[int, int]]:
+    """Links (numbers of sets) between the components of two blocks, one per join of two.
+
+    With two different numbers in ``blocks``, pairs inside a block are left to its own call.
+    """
+    names: dict = {}
+    own = [names.setdefault(c, len(names)) for c in components]
+    above = list(range(len(names)))
+
+    def root(c: int) -> int:
+        while above[c] != c:
+            above[c] = c = above[above[c]]
+        return c
+
+    low, within = min(blocks), len(set(blocks)) == 1
+    members = [i for i, b in enumerate(blocks) if b == low]
+    trie = build_trie([sets[i] for i in members])
+    _mark(trie, [own[i] for i in members])
+    bits = np.array([bitmap(sets[i]) for i in members])
+    sizes = np.array([len(sets[i]) for i in members])
+    found = []
+    for walker, grams in enumerate(sets):
+        if not within and blocks[walker] == low:
+            continue
+        differ = np.bitwise_count(bits ^ bitmap(grams)).sum(axis=1)
+        total = sizes + len(grams)
+        near = ((of * np.minimum(sizes, len(grams)) >= least * np.maximum(sizes, len(grams)))
+                & (differ <= total * (of - least) // (of + least)))
+        while near.any():
+            here = root(own[walker])
+            other = next(_walk(grams, trie, least, of, lambda node: all(
+                root(c) == here for c in node.components), near), None)
+            if other is None:
+                break
+            above[root(own[members[other]])] = here
+            found.append((walker, members[other]))
+    return found
+
+
+def _mark(node: _Node, components: list[int]) -> set[int]:
+    """Give every node the components of the sets below it."""
+    stack, order = [node], []
+    while stack:
+        at = stack.pop()
+        order.append(at)
+        stack += at.children.values()
+    for at in reversed(order):
+        at.components = {components[i] for i in at.ends}.union(
+            *(c.components for c in at.children.values()))
+    return node.components
+
+
+def _across(members: DataFrame, sets: DataFrame, least: int, of: int) -> DataFrame:
+    """a, b: links that join components within the open groups.
+
+    ``members`` are sig, key, rep, component, blocks (of its group).  A set goes to as many
+    tasks as its group has blocks, and a task holds two blocks.
+    """
+    dealt = members.withColumn("block", F.expr("pmod(xxhash64(key), blocks)")).selectExpr(
+        "sig", "key", f"{_VERTEX} AS node", "component", "block",
+        "explode(transform(sequence(0L, blocks - 1), i -> "
+        "struct(least(i, block) AS low, greatest(i, block) AS high))) AS pair")
+
+    def run(table: pa.Table) -> pa.Table:
+        found = block_links([np.frombuffer(g.as_py(), np.uint64) for g in table.column("grams")],
+                            table.column("component").to_pylist(),
+                            table.column("block").to_pylist(), least, of)
+        a, b = (pa.array([pair[i] for pair in found], pa.int64()) for i in (0, 1))
+        return pa.table({"a": table.column("node").take(a), "b": table.column("node").take(b)})
+
+    return (dealt.join(sets, "key").selectExpr("sig", "pair.low", "pair.high", "node",
+                                               "component.key AS component", "block", "grams")
+            .groupBy("sig", "low", "high").applyInArrow(run, _LINK))
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str,
@@ -304,10 +409,11 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str,
 
 
 def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
-    """key, component (smallest key reachable) of every key in ``links`` (a, b).
+    """node, component (least node reachable) of every node in ``links`` (a, b).
 
-    Alternates star contractions; every round's edges are a stored table.  With ``rounds``
-    it stops early, and a component may still be in several parts.
+    Alternates star contractions; every round's edges are a stored table, which the next
+    one replaces.  With ``rounds`` it stops early, and a component may still be in several
+    parts.
     """
     edges = stored(links.where("a <> b").selectExpr("greatest(a, b) AS u", "least(a, b) AS v")
                    .distinct(), "join-edges")
@@ -317,17 +423,18 @@ def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
         # Every node's larger neighbours, then its smaller ones, move to its least neighbour.
         both = edges.union(edges.selectExpr("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).selectExpr("u", "least(u, m) AS m")
-        edges = both.join(least, "u").where("v > u").selectExpr("v AS u", "m AS v").distinct()
-        least = edges.groupBy("u").agg(F.min("v").alias("m"))
-        edges = (edges.join(least, "u").where("v <> m").selectExpr("v AS u", "m AS v")
-                 .union(least.select("u", "m")).distinct())
-        edges = stored(edges, "join-edges")
+        larger = both.join(least, "u").where("v > u").selectExpr("v AS u", "m AS v").distinct()
+        least = larger.groupBy("u").agg(F.min("v").alias("m"))
+        smaller = (larger.join(least, "u").where("v <> m").selectExpr("v AS u", "m AS v")
+                   .union(least.select("u", "m")).distinct())
+        replaced, edges = edges, stored(smaller, "join-edges")
+        removed(replaced)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break
         before = now
-    roots = edges.selectExpr("v AS key", "v AS component").distinct()
-    return edges.selectExpr("u AS key", "v AS component").union(roots)
+    roots = edges.selectExpr("v AS node", "v AS component").distinct()
+    return edges.selectExpr("u AS node", "v AS component").union(roots)
 
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -345,44 +452,42 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "join-classes")
     groups = stored(_prefixes(docs, id_col, text_col, size, least, of), "join-prefixes")
 
-    def narrowed(pairs: DataFrame) -> DataFrame:
-        a, b = classes.alias("a"), classes.alias("b")
-        return (pairs.join(a, F.expr("hub = a.key")).join(b, F.expr("b.key = other"))
-                .where(_may_link("a", "b", least, of))
-                .select("hub", F.col("other").alias("key"), F.col("a.rep").alias("hub_rep"),
-                        F.col("b.rep").alias("key_rep")))
-
-    def links(pairs: DataFrame, label: str) -> DataFrame:
-        pairs = stored(pairs, f"join-pairs-{label}")
-        wanted = pairs.selectExpr("explode(array(hub_rep, key_rep)) AS rep").distinct()
-        sets = stored(_sets_of(docs, wanted, id_col, text_col, size), f"join-sets-{label}")
-        return stored(_verified(pairs.select("hub", "key"), sets, least, of), f"join-links-{label}")
+    a, b = classes.alias("a"), classes.alias("b")
+    node = lambda side: F.expr(_VERTEX.replace("rep AS", f"{side}.rep AS").replace(
+        "rep IS", f"{side}.rep IS").replace("key AS", f"{side}.key AS"))
+    pairs = stored(groups.select("hub", F.col("key").alias("other")).distinct()
+                   .join(a, F.expr("hub = a.key")).join(b, F.expr("b.key = other"))
+                   .where(_may_link("a", "b", least, of))
+                   .select("hub", F.col("other").alias("key"), node("a").alias("a"),
+                           node("b").alias("b")), "join-pairs")
+    wanted = pairs.selectExpr("explode(array(a.rep, b.rep)) AS rep").distinct()
+    sets = stored(_sets_of(docs, wanted, id_col, text_col, size), "join-sets")
+    first = stored(_verified(pairs, sets, least, of), "join-links")
+    removed(pairs, sets)
 
-    first = links(narrowed(groups.select("hub", F.col("key").alias("other")).distinct()), "hub")
     known = stored(components(first, rounds=2), "join-components-hub")
-    placed = (groups.select("sig", "key").join(known, "key", "left")
-              .selectExpr("sig", "key", "coalesce(component, key) AS component"))
-    open_groups = (placed.groupBy("sig")
-                   .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                   .where("low <> high").select("sig"))
-    placed = stored(placed.join(open_groups, "sig"), "join-open")
-    # A pair that shares several prefixes is wanted from the first only.  The lists are
-    # cut, as they only save repetition.
-    firsts = placed.groupBy("key").agg(F.slice(F.sort_array(F.collect_list("sig")), 1, FIRSTS)
-                                       .alias("firsts"))
-    rest = stored(placed.join(firsts.join(classes, "key"), "key"), "join-rest")
-    across = (rest.alias("a").join(rest.alias("b"), F.expr(
-        "a.sig = b.sig AND a.key < b.key AND a.component <> b.component")
-        & _may_link("a", "b", least, of)
-        & F.expr("size(filter(a.firsts, s -> s < a.sig AND array_contains(b.firsts, s))) = 0"))
-        .select(F.col("a.key").alias("hub"), F.col("b.key").alias("key"),
-                F.col("a.rep").alias("hub_rep"), F.col("b.rep").alias("key_rep")).distinct())
-    found = stored(components(first.union(links(across, "rest"))), "join-components")
-
-    smallest = (classes.select("key", "rep").join(found, "key").groupBy("component")
-                .agg(F.min("rep").alias("component_id")))
-    placed = (classes.select("key", "rep").join(found, "key", "left").join(smallest, "component", "left")
-              .select("key", F.coalesce("component_id", "rep").alias("component_id")))
+    here = groups.selectExpr("sig", "key").unionByName(
+        groups.selectExpr("sig", "hub AS key").distinct())
+    placed = (here.join(classes.select("key", "rep"), "key").withColumn("node", F.expr(_VERTEX))
+              .join(known, "node", "left")
+              .selectExpr("sig", "key", "rep", "coalesce(component, node) AS component"))
+    # Groups of several components; of those with the same members, one.
+    open_groups = (placed.groupBy("sig").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"),
+        F.count("*").alias("size"), F.bit_xor(F.xxhash64("key")).alias("all"),
+        F.bit_xor(F.xxhash64("key", F.lit(1))).alias("all_again"))
+        .where("low <> high").groupBy("size", "all", "all_again").agg(F.min("sig").alias("sig"))
+        .selectExpr("sig", f"(size + {BLOCK - 1}) DIV {BLOCK} AS blocks"))
+    rest = stored(placed.join(open_groups, "sig"), "join-open")
+    sets = stored(_sets_of(docs, rest.select("rep").distinct(), id_col, text_col, size),
+                  "join-sets-open")
+    across = stored(_across(rest, sets, least, of), "join-links-open")
+    removed(rest, sets)
+    found = stored(components(first.union(across)), "join-components")
+
+    placed = (classes.select("key", "rep").withColumn("node", F.expr(_VERTEX))
+              .join(found, "node", "left")
+              .select("key", F.expr("coalesce(component, node).rep AS component_id")))
     return (members.select("doc_id", "n", "key").join(placed, "key", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.expr("IF(key IS NULL, doc_id, component_id)").alias("component_id")))

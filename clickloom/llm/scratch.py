@@ -19,7 +19,16 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
     """
     path = fresh_dir(rows.sparkSession, label)
     rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    found = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    found.stored_at = path
+    return found
+
+
+def removed(*tables: DataFrame) -> None:
+    """Delete tables of ``stored`` that nothing reads any more."""
+    for rows in tables:
+        path = rows.sparkSession._jvm.org.apache.hadoop.fs.Path(rows.stored_at)
+        path.getFileSystem(rows.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_of(name: str) -> Column:
