@@ -1,9 +1,10 @@
 """URL filters: rules first, and beyond them the purity of path templates.
 
 Every host has a tree of path segments.  Level by level, from the first segment on,
-segments of a node that vary are generalised into a wildcard of their shape: they vary if
-a further page would likely bring a new one, which the share of values seen once
-estimates.  Then sibling branches that are statistically alike, in what lies below them
+segments of a node that vary are generalised into a wildcard of their shape.  Plain words
+vary if a further page would likely bring a new one, which the share of values seen once
+estimates; what holds digits varies if two pages would likely differ in it, however often
+each value comes back.  Then sibling branches that are statistically alike, in what lies below them
 and in their labels, are merged, from the deepest level up.  What is left are templates.
 
 A page that a rule fits is labelled by it.  A template's purity is its share of blocked
@@ -102,12 +103,13 @@ def templates(rows: DataFrame) -> DataFrame:
                 .withColumn("stem", F.expr("left(segment, length(segment) - length(extension))"))
                 .withColumn("shape", F.expr(_SHAPE)).drop("stem", "extension"))
         node = ["host", "template", "shape"]
-        new = F.expr("sum(IF(n = 1, 1L, 0L))")
-        expected = F.when(F.col("shape").startswith("<word>"), STAY).otherwise(VARY)
+        plain = F.col("shape").startswith("<word>")
+        new, differ = F.expr("sum(IF(n = 1, 1L, 0L))"), F.expr("sum(n) - sum(n * double(n)) / sum(n)")
+        expected = F.when(plain, STAY).otherwise(VARY)
         varying = (here.where("segment IS NOT NULL").groupBy(*node, "segment")
                    .agg(F.count("*").alias("n"))
-                   .groupBy(*node).agg(F.sum("n").alias("pages"), new.alias("once"))
-                   .where((F.col("once") + BEFORE * expected) / (F.col("pages") + BEFORE) >= 0.5)
+                   .groupBy(*node).agg(F.sum("n").alias("pages"), F.when(plain, new).otherwise(differ).alias("vary"))
+                   .where((F.col("vary") + BEFORE * expected) / (F.col("pages") + BEFORE) >= 0.5)
                    .select(*node, F.lit(True).alias("varies")))
         rows = stored(here.join(varying, node, "left").withColumn("template", F.expr("""
             CASE WHEN segment IS NULL THEN template WHEN varies THEN array_append(template, shape)
