@@ -45,8 +45,8 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id",
 
         def run(batch: list[str]) -> dict[str, list]:
             cut = []
-            for text in batch:
-                ids = encoder.ids(text) + end
+            for ids in encoder.ids_of(batch):
+                ids += end
                 cut.append([ids[i:i + step] for i in range(0, len(ids), step)])
             return {"cut": [[(len(p) // 4, zlib.crc32(p), p) for p in own] for own in cut]}
 

@@ -28,7 +28,7 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def prepare():
         encoder = word_encoder(path)
-        return lambda batch: {"n_tokens": [len(encoder.ids(t)) // 4 for t in batch]}
+        return lambda batch: {"n_tokens": [len(ids) // 4 for ids in encoder.ids_of(batch)]}
 
     return map_texts(texts(docs, id_col, text_col), prepare, "n_tokens bigint")
 
