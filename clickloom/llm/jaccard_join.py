@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.scratch import map_texts, stored, texts
+from clickloom.llm.scratch import map_texts, removed, stored, texts
 
 WORDS = 4
 # Similarity as a share of whole numbers, so that the comparison is exact.
@@ -120,17 +120,19 @@ def _dealing(level: int, least: int, of: int) -> tuple[int, int]:
     """Parts of a level, and how many more they are than n-grams may differ.
 
     The parts beyond make up for empty ones: as many as the smallest set of the level is
-    expected to leave, and three deviations.  More parts leave more of them empty, so the
-    number is raised until it fits.
+    expected to leave, and three deviations.  More parts leave more of them empty, so a
+    small level may reach no such number; it takes the one with most deviations to spare.
     """
     differ = most_different(2 * _upper(level, least, of), least, of)
-    smallest, room = _upper(max(level - 2, 0), least, of) + 1, 1
-    while differ:
+    smallest, best = _upper(max(level - 2, 0), least, of) + 1, (-np.inf, -1)
+    if not differ:
+        return 1, 1
+    for room in range(1, 2 * (differ + 8)):
         parts = differ + room
         empty = parts * (1 - 1 / parts) ** smallest
-        if room >= 1 + empty + 3 * empty ** 0.5:
-            break
-        room += 1
+        spare = (room - 1 - empty) / max(empty, 1e-9) ** 0.5
+        best = max(best, (min(spare, 3), -room))
+    room = -best[1]
     return differ + room, room
 
 
@@ -293,6 +295,8 @@ def trie_links(own: np.ndarray, root: _Node, least: int = LEAST, of: int = OF) -
 _VERTEX = "struct(rep IS NULL AS none, rep AS rep, key AS key)"
 _LINK = "a struct<none:boolean,rep:bigint,key:bigint>, b struct<none:boolean,rep:bigint,key:bigint>"
 
+_NODE = pa.struct([("none", pa.bool_()), ("rep", pa.int64()), ("key", pa.int64())])
+
 
 def _verified(pairs: DataFrame, sets: DataFrame, least: int, of: int) -> DataFrame:
     """a, b: the pairs (hub, key, and both as nodes) whose sets are linked."""
@@ -346,8 +350,10 @@ def block_links(sets: list[np.ndarray], components: list, blocks: list[int], lea
                 & (differ <= total * (of - least) // (of + least)))
         while near.any():
             here = root(own[walker])
-            other = next(_walk(grams, trie, least, of, lambda node: all(
-                root(c) == here for c in node.components), near), None)
+            # A subtree that is not left may hold sets of the walker's own component, too.
+            other = next((i for i in _walk(grams, trie, least, of, lambda node: all(
+                root(c) == here for c in node.components), near)
+                if root(own[members[i]]) != here), None)
             if other is None:
                 break
             above[root(own[members[other]])] = here
@@ -383,8 +389,9 @@ def _across(members: DataFrame, sets: DataFrame, least: int, of: int) -> DataFra
         found = block_links([np.frombuffer(g.as_py(), np.uint64) for g in table.column("grams")],
                             table.column("component").to_pylist(),
                             table.column("block").to_pylist(), least, of)
-        a, b = (pa.array([pair[i] for pair in found], pa.int64()) for i in (0, 1))
-        return pa.table({"a": table.column("node").take(a), "b": table.column("node").take(b)})
+        nodes = table.column("node")
+        return pa.table({name: pa.array([nodes[pair[i]].as_py() for pair in found], _NODE)
+                         for i, name in enumerate("ab")})
 
     return (dealt.join(sets, "key").selectExpr("sig", "pair.low", "pair.high", "node",
                                                "component.key AS component", "block", "grams")

@@ -256,6 +256,48 @@ def test_linked_sets_share_a_signature():
                 assert set(jaccard_join.signatures(x)) & set(jaccard_join.signatures(y)), n
 
 
+@pytest.mark.parametrize("least, most", [(85, 1.0), (80, 1.5)])
+def test_signatures_are_fewer_than_the_shingles_of_a_set(least, most):
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 5, 12, 40, 100, 400, 1000, 3000, 5000):
+        grams = np.unique(rng.integers(1, 1 << 60, n).astype(np.uint64))
+        assert len(jaccard_join.signatures(grams, least, 100)) <= most * n + 2, n
+
+
+def test_blocks_tell_few_links_and_lose_no_component():
+    rng = np.random.default_rng(6)
+    base = np.unique(rng.integers(1, 1 << 60, 120).astype(np.uint64))
+    sets = []
+    for i in range(300):
+        kept = base[rng.permutation(120)[:120 - i % 11]] if i % 3 else rng.integers(1, 1 << 60, 80).astype(np.uint64)
+        sets.append(np.unique(np.concatenate([kept, rng.integers(1, 1 << 60, i % 7).astype(np.uint64)])))
+    near = [(i, j) for i in range(300) for j in range(i)
+            if 100 * len(np.intersect1d(sets[i], sets[j])) >= 85 * len(np.union1d(sets[i], sets[j]))]
+
+    def parts(links):
+        above = list(range(300))
+
+        def root(x):
+            while above[x] != x:
+                x = above[x]
+            return x
+        for i, j in links:
+            a, b = root(i), root(j)
+            above[max(a, b)] = min(a, b)
+        return [root(x) for x in range(300)]
+
+    whole = jaccard_join.block_links(sets, list(range(300)), [0] * 300)
+    assert set(whole) <= set(near) | {(j, i) for i, j in near}
+    assert len(near) > 3000 and len(whole) < 300 and parts(whole) == parts(near)
+    blocks = [i % 2 for i in range(300)]
+    cut = jaccard_join.block_links(sets, list(range(300)), blocks)
+    for b in (0, 1):
+        own = [i for i in range(300) if blocks[i] == b]
+        cut += [(own[i], own[j]) for i, j in jaccard_join.block_links(
+            [sets[i] for i in own], own, [b] * len(own))]
+    assert len(cut) < 900 and parts(cut) == parts(near)
+
+
 def test_trie_walk_equals_set_arithmetic():
     rng = np.random.default_rng(4)
     own = np.unique(rng.integers(0, 400, 150).astype(np.uint64))
