@@ -23,6 +23,9 @@ UNKNOWN = "und"
 # Characters counted at a time.
 PART = 500_000
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
+# Fractions and numerals are word characters, but no letters (Unicode category L).
+_NUMBERS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha())
+_NUMERALS = re.compile(f"[ {re.escape(_NUMBERS)}]+")
 _BITS = np.uint64(21)
 _BLANK = ord(" ")
 
@@ -34,6 +37,9 @@ def ngrams(text: str) -> tuple[np.ndarray, np.ndarray]:
     words and blanks alone are left out.  A code packs up to three code points.
     """
     words = _NOT_LETTERS.sub(" ", text.lower()).strip()
+    # Rare, and the long class is slow.
+    if not words.replace(" ", "").isalpha():
+        words = _NUMERALS.sub(" ", words).strip()
     if not words:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     found, start = [], 0

@@ -334,6 +334,7 @@ def test_language_profiles(spark, odd):
     assert all(0 <= r.score <= 1 for r in found.values())
     assert language_id.Matcher(known).match("the other cat")[0] == "en"
     assert language_id.Matcher({}).match("text") == ("und", 0.0)
+    assert language_id.Matcher(known).match("½ ² Ⅷ ٣ 12_")[0] == "und"
     whole, parts = language_id.ngrams(LONG), language_id.add_up([language_id.ngrams(x) for x in (LONG[:5000], LONG[5000:])])
     assert len(whole[0]) <= len(parts[0])
 
