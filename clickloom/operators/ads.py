@@ -51,6 +51,17 @@ def province_top(totals: DataFrame, k: int = 3) -> DataFrame:
     return ranked.select("date", "province", "adid", "click_count")
 
 
+def next_top(old: DataFrame, touched: DataFrame, k: int = 3) -> DataFrame:
+    """Top ads after some totals have grown: ``old`` is the top list so far and
+    ``touched`` holds the new province totals of the changed ads alone.
+
+    Counts never fall, so an ad that is neither in the old list nor touched cannot pass
+    the k that were above it.  ``old`` must have been made with the same ``k``.
+    """
+    still = old.join(touched, ["date", "province", "adid"], "left_anti")
+    return province_top(still.unionByName(touched), k)
+
+
 def minute_counts(clicks: DataFrame) -> DataFrame:
     """Clicks per event-time minute and ad."""
     minute = F.date_trunc("minute", F.col("ts"))
@@ -62,17 +73,3 @@ def trend(counts: DataFrame) -> DataFrame:
     ts = F.col("minute_ts")
     return counts.select(dates.date_key(ts).alias("date"), F.date_format(ts, "HH").alias("hour"),
                          F.date_format(ts, "mm").alias("minute"), "adid", "click_count")
-
-
-def sliding_hour(counts: DataFrame, length: str = "60 minutes",
-                 slide: str = "1 minute") -> DataFrame:
-    """Clicks per ad in every window of ``length``, one starting each ``slide``.
-
-    Works on minute counts, so that only these and not the clicks are copied into the
-    sixty windows they belong to; both spans are whole minutes.
-    """
-    return (counts.groupBy(F.window("minute_ts", length, slide).alias("w"), "adid")
-            .agg(F.sum("click_count").alias("click_count"))
-            .select(dates.format_time(F.col("w.start")).alias("window_start"),
-                    dates.format_time(F.col("w.end")).alias("window_end"),
-                    "adid", "click_count"))

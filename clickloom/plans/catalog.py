@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 
 from clickloom import workdir
 from clickloom.functions import dates, records, text
-from clickloom.operators import ads, areas, categories, filters, funnel, merges, sampling
+from clickloom.operators import (ads, areas, categories, filters, funnel, merges, sampling,
+                                 sliding)
 from clickloom.operators import sessions as S
 from clickloom.params import TaskParams
 from clickloom.session import pin_utc
 from clickloom.sinks import outputs
-from clickloom.sources import ad_log, tables, testdata
+from clickloom.sources import ad_log, session_store, tables, testdata
 from clickloom.streaming import running
 from clickloom.streaming.ad_stream import AdStream
 from clickloom.streaming.replay import replay
@@ -43,6 +44,8 @@ THRESHOLD = 3
 # More clicks than anybody makes: the blacklist stays empty.
 NOBODY = 2 ** 62
 LATE_DELAY = "24 hours"
+# Buckets of the stored sessions, and the rows above which one is kept apart.
+STORE_BUCKETS, STORE_HOT = 16, 1000
 # First and last day of each arrival of the replayed log.
 ARRIVALS = ((None, "2024-01-05"), ("2024-01-06", "2024-01-10"),
             ("2024-01-11", "2024-01-15"), ("2024-01-16", "2024-01-20"),
@@ -522,7 +525,13 @@ def ad_click_trend_stream(spark, d):
 
 @query
 def ad_click_sliding_60m(spark, d):
-    return ads.sliding_hour(_minutes(spark, d))
+    return sliding.window_counts(_minutes(spark, d))
+
+
+@query
+def ad_click_sliding_3h(spark, d):
+    """Three-hour windows, one each quarter of an hour."""
+    return sliding.window_counts(ads.minute_counts(_clicks(spark, d)), length=180, slide=15)
 
 
 def _upto(spark, root):
@@ -569,6 +578,17 @@ def ad_click_trend_late(spark, d):
     return ads.trend(log.current(_upto(spark, root)))
 
 
+@query
+def ad_click_late_ledger(spark, d):
+    """The clicks that the watermark of ``ad_click_trend_late`` leaves out."""
+    root = workdir.fresh_dir(spark, "ledger")
+    landing = f"{root}/landing"
+    replay(_late_arrivals(spark, d), landing,
+           lambda: running.upsert_with_ledger(ad_log.file_lines(spark, f"{landing}/*"), root,
+                                              LATE_DELAY))
+    return running.late_log(spark, root).rows(_upto(spark, root)).drop("batch_id")
+
+
 def _replayed(spark, arrivals, label, threshold=THRESHOLD, compact_every=4):
     root = workdir.fresh_dir(spark, label)
     landing = f"{root}/landing"
@@ -620,6 +640,32 @@ def table_overwrite_round_trip(spark, d):
                     "click_category_id", "order_category_ids", "pay_category_ids", "city_id"))
 
 
+def _session_store(spark, d):
+    """The action table stored by session.  Small here, so are its buckets."""
+    name = f"session_actions_{uuid.uuid4().hex}"
+    session_store.write(_all_actions(spark, d).drop("action_ts"), name, STORE_BUCKETS,
+                        STORE_HOT, workdir.fresh_dir(spark, "session-store"))
+    return session_store.SessionStore.open(spark, name, **RANGE)
+
+
+@query
+def session_store_rollup(spark, d):
+    """``session_rollup`` on a log stored by session."""
+    return S.output_columns(_session_store(spark, d).per_session(
+        lambda actions: S.rollup(actions, clock="visit_sec")))
+
+
+@query
+def session_store_actions(spark, d):
+    """Actions of the filtered sessions, from a log stored by session."""
+    users = _users(spark, d)
+    kept = _session_store(spark, d).per_session(lambda actions: S.actions_of(
+        actions, S.filtered(actions, users, DEFAULT, clock="visit_sec")))
+    return kept.select("event_id", "session_id", "user_id", "page_id", "action_time",
+                       "search_keyword", "click_category_id", "click_product_id",
+                       "order_category_ids", "pay_category_ids", "city_id")
+
+
 @query
 def merge_insert_new(spark, d):
     """Morning counts, and those of the afternoon for keys that the morning has not."""

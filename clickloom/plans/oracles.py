@@ -249,6 +249,11 @@ _SQL: dict[str, tuple[str, str]] = {
     "session_filter_task_json": (BASE, FILTERED),
     # sessions
     "session_rollup": (BASE, f"SELECT {OUT} FROM sess"),
+    "session_store_rollup": (BASE, f"SELECT {OUT} FROM sess"),
+    "session_store_actions": (KEPT, """
+      SELECT event_id, session_id, user_id, page_id, action_time, search_keyword,
+             click_category_id, click_product_id, order_category_ids, pay_category_ids,
+             city_id FROM kept"""),
     "session_full_info": (BASE, f"SELECT {OUT}, age, professional, city, sex FROM info"),
     "filtered_session_actions": (KEPT, """
       SELECT event_id, session_id, user_id, page_id, action_time, search_keyword,
@@ -351,6 +356,23 @@ _SQL: dict[str, tuple[str, str]] = {
              adid, count(*) AS click_count
       FROM (SELECT adid, unnest(range(es // 60 - 59, es // 60 + 1)) AS w FROM clk)
       GROUP BY 1, 2, 3"""),
+    "ad_click_sliding_3h": (ADS, """
+      SELECT strftime(make_timestamp(w * 900000000), '%Y-%m-%d %H:%M:%S') AS window_start,
+             strftime(make_timestamp((w + 12) * 900000000), '%Y-%m-%d %H:%M:%S')
+               AS window_end,
+             adid, count(*) AS click_count
+      FROM (SELECT adid, unnest(range(es // 900 - 11, es // 900 + 1)) AS w FROM clk)
+      GROUP BY 1, 2, 3"""),
+    "ad_click_late_ledger": (ADS, """
+      SELECT ts_ms, date, province, city, userid, adid
+      FROM (SELECT *, slice + CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS arrival
+            FROM slid) c
+      JOIN (
+        SELECT arrival, max(newest) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING
+                                          AND 1 PRECEDING) - INTERVAL 24 HOUR AS watermark
+        FROM (SELECT slice + CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS arrival,
+                     max(ts) AS newest FROM slid GROUP BY 1)) w USING (arrival)
+      WHERE date_trunc('minute', ts) + INTERVAL 1 MINUTE <= watermark"""),
     "ad_click_trend_late": (ADS, """
       SELECT date, hour, minute, adid, count(*) AS click_count
       FROM (SELECT *, slice + CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS arrival

@@ -34,6 +34,7 @@ PAGE_CONVERSION = "taskid string, convertRate string"
 AREA_TOP = ("taskid string, area string, areaLevel string, productid bigint, "
             "cityInfos string, clickCount bigint, productName string, productStatus string")
 
+AD_CLICK = "ts_ms bigint, date string, province string, city string, userid bigint, adid bigint"
 AD_BLACKLIST = "userid bigint"
 AD_USER_DAY = "date string, userid bigint, adid bigint, click_count bigint"
 AD_STAT = "date string, province string, city string, adid bigint, click_count bigint"

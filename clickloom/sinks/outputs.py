@@ -56,14 +56,20 @@ def read_jdbc(spark: SparkSession, options: dict[str, str], query: str) -> DataF
 
 
 def overwrite_table(df: DataFrame, name: str, path: str | None = None,
-                    partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Replace a catalog table by ``df``, then read it back.
-
-    The rows are written to a table of another name, which takes the old one's place when
-    it is complete: ``df`` may read the table, and a failed write leaves it as it was.
-    Each version has a folder of its own below ``path`` (by default one in the warehouse);
-    folders of earlier versions stay.  An action table partitioned by date lets every date
-    range prune whole folders.
+                    partition_by: tuple[str, ...] = (),
+                    bucket_by: tuple[int, str] | None = None,
+                    sort_by: tuple[str, ...] = ()) -> DataFrame:
+    """Replace the catalog's ``name`` by ``df``, then read it back.
+
+    ``name`` is a view on the newest of a row of version tables, each with a folder of its
+    own below ``path`` (by default one in the warehouse).  The rows are written first and
+    the view is then turned to them in one catalog step, so ``df`` may read ``name``, a
+    failed write leaves it as it was, and there is no time without it.  The version before
+    is dropped with its folder; frames still reading that one must be made anew.  A table
+    of that name made by other means is not replaced.
+
+    An action table partitioned by date lets every date range prune whole folders;
+    ``bucket_by`` (number, column) and ``sort_by`` store it dealt and sorted.
     """
     spark = df.sparkSession
     version = uuid.uuid4().hex
@@ -72,7 +78,39 @@ def overwrite_table(df: DataFrame, name: str, path: str | None = None,
     writer = df.write.mode("errorifexists").option("path", f"{root}/{version}")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(fresh)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+    if bucket_by:
+        writer = writer.bucketBy(*bucket_by)
+    if sort_by:
+        writer = writer.sortBy(*sort_by)
+    old = _version_of(spark, name)
+    try:
+        writer.saveAsTable(fresh)
+    except Exception:
+        _remove(spark, None, f"{root}/{version}")
+        raise
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{VERSION}' = '{fresh}', "
+              f"'{FOLDER}' = '{root}/{version}') AS SELECT * FROM {fresh}")
+    if old:
+        _remove(spark, *old)
     return spark.table(name)
+
+
+VERSION, FOLDER = "clickloom.version", "clickloom.folder"
+
+
+def _version_of(spark: SparkSession, name: str) -> tuple[str, str] | None:
+    """Table and folder that the view ``name`` stands for."""
+    if not spark.catalog.tableExists(name):
+        return None
+    said = {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    if VERSION not in said:
+        raise ValueError(f"{name} is a table that this function did not make")
+    return said[VERSION], said[FOLDER]
+
+
+def _remove(spark: SparkSession, table: str | None, folder: str) -> None:
+    if table:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    path.getFileSystem(conf).delete(path, True)

@@ -30,7 +30,8 @@ class AdStream:
 
     ``open_days``: a day this many days older than the newest one seen is closed.  Its
     late clicks go to the rejects, and compaction moves its rows to an archive, which
-    bounds the working set; None keeps every day open.
+    bounds the working set; None keeps every day open.  ``top`` must stay the same as
+    long as ``root`` is used, since a top list is made from the one before.
     """
 
     def __init__(self, spark: SparkSession, root: str, threshold: int = 100, top: int = 3,
@@ -89,9 +90,11 @@ class AdStream:
 
     def _rank_provinces(self, clicks: DataFrame, batch_id: int) -> None:
         self.stat_log.write(ads.stat(clicks), batch_id)
-        changed = self.stat_log.batch(batch_id).select("date", "province").distinct()
-        stats = self.stat_log.current(batch_id, only=changed)
-        self.top_log.write(ads.province_top(ads.province_count(stats), self.top), batch_id)
+        touched = self.stat_log.batch(batch_id).select("date", "province", "adid").distinct()
+        grown = ads.province_count(self.stat_log.current(batch_id, only=touched))
+        old = self.top_log.current(batch_id - 1,
+                                   only=touched.select("date", "province").distinct())
+        self.top_log.write(ads.next_top(old, grown, self.top), batch_id)
 
     def _set_aside(self, marked: DataFrame, batch_id: int) -> None:
         """Malformed and late records; and, if days are closed, which days were seen."""

@@ -132,9 +132,14 @@ class DeltaLog:
         folder.getFileSystem(conf).delete(folder, True)
 
     def _write_sorted(self, rows: DataFrame, path: str) -> None:
-        self._write(rows.repartitionByRange(*self.keys).sortWithinPartitions(*self.keys), path)
-
-    def _write(self, rows: DataFrame, path: str) -> None:
+        self._write(rows.repartitionByRange(*self.keys).sortWithinPartitions(*self.keys), path,
+                    clustered=True)
+
+    def _write(self, rows: DataFrame, path: str, clustered: bool = False) -> None:
+        if self.dated and not clustered:
+            # One day's rows come together, in pieces by their size; else every task
+            # leaves a file per day.
+            rows = rows.hint("rebalance", "date")
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
         (writer.partitionBy("date") if self.dated else writer).parquet(path)
 

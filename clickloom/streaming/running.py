@@ -19,6 +19,9 @@ from clickloom.session import off_heap_state
 from clickloom.sources import ad_log
 from clickloom.streaming import delta_log as dl
 
+MINUTES = "minute_ts timestamp, adid bigint, click_count bigint"
+
+
 def _clicks(lines: DataFrame, delay: str | None) -> DataFrame:
     clicks = ad_log.good(ad_log.parse(lines))
     return clicks.withWatermark("ts", delay) if delay else clicks
@@ -55,8 +58,7 @@ def stat_log(spark, root: str) -> dl.DeltaLog:
 
 def minute_log(spark, root: str) -> dl.DeltaLog:
     return dl.DeltaLog(spark, f"{root}/minutes",
-                       "minute_ts timestamp, adid bigint, click_count bigint",
-                       ("minute_ts", "adid"), dl.LATEST)
+                       MINUTES, ("minute_ts", "adid"), dl.LATEST)
 
 
 def top_log(spark, root: str) -> dl.DeltaLog:
@@ -64,9 +66,10 @@ def top_log(spark, root: str) -> dl.DeltaLog:
                        ("date", "province"), dl.REPLACE)
 
 
-def _run(totals: DataFrame, each_batch, root: str, every: str | None) -> StreamingQuery:
+def _run(totals: DataFrame, each_batch, root: str, every: str | None,
+         mode: str = "update") -> StreamingQuery:
     off_heap_state(totals.sparkSession)
-    writer = (totals.writeStream.outputMode("update").foreachBatch(each_batch)
+    writer = (totals.writeStream.outputMode(mode).foreachBatch(each_batch)
               .option("checkpointLocation", f"{root}/checkpoint"))
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
@@ -84,25 +87,62 @@ def upsert(totals: DataFrame, log: dl.DeltaLog, root: str,
 
 def upsert_with_top(totals: DataFrame, root: str, k: int = 3,
                     every: str | None = None) -> StreamingQuery:
-    """Stream new totals and re-rank every (date, province) the batch touched.
+    """Stream new totals and rank again every (date, province) the batch touched.
 
-    Ranking is not allowed on a stream, so it runs on the stored totals inside the
-    batch, and its rows replace those of the same day and province.
+    Ranking is not allowed on a stream, so it runs inside the batch, over the old top
+    list and the new totals of the touched ads, and its rows replace those of the same
+    day and province.  ``k`` must stay the same as long as ``root`` is used.
     """
     spark = totals.sparkSession
     stats, tops = stat_log(spark, root), top_log(spark, root)
 
     def each_batch(rows: DataFrame, batch_id: int) -> None:
         stats.write(rows, batch_id)
-        touched = stats.batch(batch_id).select("date", "province").distinct()
-        ranked = ads.province_top(ads.province_count(stats.current(batch_id, only=touched)), k)
-        tops.write(ranked, batch_id)
+        touched = stats.batch(batch_id).select("date", "province", "adid").distinct()
+        grown = ads.province_count(stats.current(batch_id, only=touched))
+        old = tops.current(batch_id - 1, only=touched.select("date", "province").distinct())
+        tops.write(ads.next_top(old, grown, k), batch_id)
         stats.compact(batch_id)
         tops.compact(batch_id)
 
     return _run(totals, each_batch, root, every)
 
 
+def late_log(spark, root: str) -> dl.DeltaLog:
+    return dl.DeltaLog(spark, f"{root}/late", schemas.AD_CLICK, (), dl.ADD)
+
+
+def upsert_with_ledger(lines: DataFrame, root: str, delay: str,
+                       every: str | None = None) -> StreamingQuery:
+    """Minute counts under a watermark, with a ledger of every click that came too late.
+
+    The watermark of a batch is the newest click of all batches before it less ``delay``;
+    a click is late if its minute ended by then.  Clicks are compared one by one before
+    anything is counted, so the ledger holds them as they came, and kept and late ones
+    together are all good clicks.  A batch depends only on what earlier ones wrote, so a
+    repeat leaves the same rows.
+    """
+    spark = lines.sparkSession
+    counts = dl.DeltaLog(spark, f"{root}/minutes", MINUTES, ("minute_ts", "adid"), dl.ADD)
+    newest = dl.DeltaLog(spark, f"{root}/newest", "ts timestamp", ("ts",), dl.DISTINCT)
+    late = late_log(spark, root)
+
+    def each_batch(rows: DataFrame, batch_id: int) -> None:
+        # One row: the watermark, null before the first batch.
+        mark = (newest.current(batch_id - 1)
+                .agg((F.max("ts") - F.expr(f"INTERVAL {delay}")).alias("mark")).first()["mark"])
+        clicks = ad_log.good(ad_log.parse(rows))
+        over = F.date_trunc("minute", "ts") + F.expr("INTERVAL 1 MINUTE")
+        passed = F.lit(False) if mark is None else over <= F.lit(mark)
+        late.write(clicks.where(passed).select(*late.columns), batch_id)
+        counts.write(ads.minute_counts(clicks.where(~passed)), batch_id)
+        newest.write(clicks.agg(F.max("ts").alias("ts")).where(F.col("ts").isNotNull()), batch_id)
+        counts.compact(batch_id)
+        newest.compact(batch_id)
+
+    return _run(lines, each_batch, root, every, "append")
+
+
 def ingest(lines: DataFrame, root: str, every: str | None = None) -> StreamingQuery:
     """Append parsed clicks to ``root/clicks`` through the exactly-once file sink."""
     writer = (ad_log.good(ad_log.parse(lines)).writeStream.format("parquet")
