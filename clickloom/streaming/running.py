@@ -112,6 +112,11 @@ def late_log(spark, root: str) -> dl.DeltaLog:
     return dl.DeltaLog(spark, f"{root}/late", schemas.AD_CLICK, (), dl.ADD)
 
 
+def ledger_counts(spark, root: str) -> dl.DeltaLog:
+    """Minute counts of the clicks that came in time."""
+    return dl.DeltaLog(spark, f"{root}/minutes", MINUTES, ("minute_ts", "adid"), dl.ADD)
+
+
 def upsert_with_ledger(lines: DataFrame, root: str, delay: str,
                        every: str | None = None) -> StreamingQuery:
     """Minute counts under a watermark, with a ledger of every click that came too late.
@@ -123,7 +128,7 @@ def upsert_with_ledger(lines: DataFrame, root: str, delay: str,
     repeat leaves the same rows.
     """
     spark = lines.sparkSession
-    counts = dl.DeltaLog(spark, f"{root}/minutes", MINUTES, ("minute_ts", "adid"), dl.ADD)
+    counts = ledger_counts(spark, root)
     newest = dl.DeltaLog(spark, f"{root}/newest", "ts timestamp", ("ts",), dl.DISTINCT)
     late = late_log(spark, root)
 
