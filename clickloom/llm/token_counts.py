@@ -71,17 +71,25 @@ def length_histogram(lengths: DataFrame, length_col: str = "n_tokens") -> DataFr
 
 
 def at_limits(histogram: DataFrame, limits: Sequence[int]) -> DataFrame:
-    """context_limit, docs_over (longer than the limit), truncated_total for any limits."""
+    """context_limit, docs_over (longer than the limit), truncated_total for any limits.
+
+    Looked up in the suffix sums: the first length above the limit says how many documents
+    are cut to it and how many tokens the shorter ones have.
+    """
     spark = histogram.sparkSession
     asked = spark.createDataFrame([(int(x),) for x in limits], "context_limit bigint")
-    pairs = histogram.select("n_tokens", "n_docs", F.explode(
-        F.array(*[F.lit(int(x)).cast("bigint") for x in limits])).alias("context_limit"))
-    found = pairs.groupBy("context_limit").agg(
-        F.sum(F.expr("IF(n_tokens > context_limit, n_docs, 0L)")).alias("docs_over"),
-        F.sum(F.expr("least(n_tokens, context_limit) * n_docs")).alias("truncated_total"))
+    sums = histogram.select(
+        "n_tokens", "docs_from", "tokens_upto",
+        F.expr("tokens_upto - n_docs * n_tokens").alias("tokens_below"),
+        F.explode(F.array(*[F.lit(int(x)).cast("bigint") for x in limits])).alias("context_limit"))
+    found = sums.groupBy("context_limit").agg(
+        F.max("tokens_upto").alias("all_tokens"),
+        F.expr("min_by(struct(docs_from, tokens_below), n_tokens)"
+               " FILTER (WHERE n_tokens > context_limit)").alias("above"))
     return asked.join(found, "context_limit", "left").select(
-        "context_limit", F.coalesce("docs_over", F.lit(0)).alias("docs_over"),
-        F.coalesce("truncated_total", F.lit(0)).alias("truncated_total"))
+        "context_limit", F.coalesce("above.docs_from", F.lit(0)).alias("docs_over"),
+        F.expr("coalesce(above.tokens_below + context_limit * above.docs_from, all_tokens, 0)")
+        .alias("truncated_total"))
 
 
 def quantiles(histogram: DataFrame, shares: Sequence[float]) -> DataFrame:
