@@ -14,11 +14,14 @@ the overlap so far, which sets with a common beginning share, and leaves a subtr
 what remains of it and of the other set cannot reach the needed overlap.
 
 Pairs.  Equal sets are one class from the start.  In a group of classes that share a
-prefix, all are compared with the first.  A group that still spans several components
-afterwards is open: its sets are dealt into blocks, a block's sets are a trie, and those
-of every block walk through it, leaving subtrees that hold only their own component.  A
-walk joins components as it finds links, so a block tells at most one link less than it
-has components, however many pairs are near.  Groups of the same sets are walked once.
+prefix, all are compared with the first.  A group whose others still span several
+components afterwards is open: they are dealt into blocks, and each block meets every
+block.  They first meet as bitmaps, about an eighth to a quarter byte an n-gram; only
+those that may be near one of another component go on with their whole sets.  There a
+block's sets are a trie, and those of the other block walk through it, leaving subtrees
+that hold only their own component.  A walk joins components as it finds links, so it
+tells at most one link less than it has components, however many pairs are near.  What
+the same sets are left of is walked once.
 """
 
 from __future__ import annotations
@@ -37,7 +40,7 @@ from clickloom.llm.scratch import map_texts, removed, stored, texts
 WORDS = 4
 # Similarity as a share of whole numbers, so that the comparison is exact.
 LEAST, OF = 85, 100
-# 64-bit words of the parity bitmap.
+# 64-bit words of the parity bitmap; a fine one has as many bits as the set n-grams, at least.
 BITMAP = 16
 # Partitions of the n-grams by different hashes, see ``signatures``.
 SCHEMES = 6
@@ -170,13 +173,23 @@ def signatures(grams: np.ndarray, least: int = LEAST, of: int = OF) -> np.ndarra
     return np.concatenate(found)
 
 
-def bitmap(grams: np.ndarray) -> np.ndarray:
-    """Parities of the n-grams by hash: as many bits differ as sets do, at most."""
-    bits = np.bincount((grams & np.uint64(64 * BITMAP - 1)).astype(np.int64),
-                       minlength=64 * BITMAP) & 1
+def bitmap(grams: np.ndarray, words: int = BITMAP) -> np.ndarray:
+    """Parities of the n-grams by hash: as many bits differ as sets do, at most.
+
+    ``words`` is a power of two; the halves of a bitmap give the next smaller one.
+    """
+    bits = np.bincount((grams & np.uint64(64 * words - 1)).astype(np.int64),
+                       minlength=64 * words) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
+def fine_bitmap(grams: np.ndarray) -> np.ndarray:
+    words = BITMAP
+    while 64 * words < len(grams):
+        words *= 2
+    return bitmap(grams, words)
+
+
 def _key(grams: np.ndarray) -> int | None:
     """Signed 64-bit name of a set; None for the empty one."""
     if not len(grams):
@@ -314,7 +327,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: int, of: int) -> DataFra
                 linked += [rows[i] for i in trie_links(grams, trie, least, of)]
             yield batch.select(["a", "b"]).take(pa.array(linked, pa.int64()))
 
-    return (pairs.join(sets, "key")
+    return (pairs.join(sets.select("key", "grams"), "key")
             .join(sets.select(F.col("key").alias("hub"), F.col("grams").alias("hub_grams")), "hub")
             .mapInArrow(run, _LINK))
 
@@ -374,17 +387,85 @@ def _mark(node: _Node, components: list[int]) -> set[int]:
     return node.components
 
 
-def _across(members: DataFrame, sets: DataFrame, least: int, of: int) -> DataFrame:
-    """a, b: links that join components within the open groups.
+def may_be_near(sizes: np.ndarray, bitmaps: list[bytes], components: list, blocks: list[int],
+                least: int = LEAST, of: int = OF) -> np.ndarray:
+    """Which sets may be linked with one of another component, by sizes and fine bitmaps.
+
+    With two different numbers in ``blocks``, pairs inside a block do not count.
+    """
+    names: dict = {}
+    own = np.array([names.setdefault(c, len(names)) for c in components])
+    side, within = np.array(blocks), len(set(blocks)) == 1
+    widths, found = np.array([len(b) for b in bitmaps]), np.zeros(len(sizes), bool)
+    for width in np.unique(widths):
+        wide = np.flatnonzero(widths >= width)
+        folded = np.array([np.bitwise_xor.reduce(
+            np.frombuffer(bitmaps[i], np.uint64).reshape(-1, width // 8)) for i in wide])
+        for at in np.flatnonzero(widths[wide] == width):
+            i, n = wide[at], sizes[wide[at]]
+            may = np.flatnonzero(
+                (own[wide] != own[i]) & (within | (side[wide] != side[i]))
+                & (of * np.minimum(sizes[wide], n) >= least * np.maximum(sizes[wide], n)))
+            differ = np.bitwise_count(folded[may] ^ folded[at]).sum(axis=1)
+            near = may[differ <= (sizes[wide[may]] + n) * (of - least) // (of + least)]
+            found[wide[near]] = True
+            found[i] |= len(near) > 0
+    return found
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.Table]:
+    """Rows sorted by ``by``, a group at a time."""
+    left = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if left is None else pa.concat_tables([left, rows])
+        keys = np.stack([rows.column(c).to_numpy() for c in by])
+        starts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist()]
+        for start, end in zip(starts, starts[1:]):
+            yield rows.slice(start, end - start)
+        left = rows.slice(starts[-1])
+    if left is not None and left.num_rows:
+        yield left
+
+
+_TASK = ["sig", "low", "high"]
 
-    ``members`` are sig, key, rep, component, blocks (of its group).  A set goes to as many
-    tasks as its group has blocks, and a task holds two blocks.
+
+def _close(members: DataFrame, sets: DataFrame, least: int, of: int) -> DataFrame:
+    """The members of two blocks (sig, low, high) that may be near one of another component.
+
+    ``members`` are sig, key, rep, component, blocks (of its group).  A member goes to as
+    many tasks as its group has blocks, with its bitmap; those of the same members are
+    kept once.
     """
     dealt = members.withColumn("block", F.expr("pmod(xxhash64(key), blocks)")).selectExpr(
-        "sig", "key", f"{_VERTEX} AS node", "component", "block",
+        "sig", "key", f"{_VERTEX} AS node", "component.key AS component", "block",
         "explode(transform(sequence(0L, blocks - 1), i -> "
-        "struct(least(i, block) AS low, greatest(i, block) AS high))) AS pair")
+        "struct(least(i, block) AS low, greatest(i, block) AS high))) AS pair").selectExpr(
+        "sig", "pair.low", "pair.high", "key", "node", "component", "block")
+    told = dealt.columns
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_groups(batches, _TASK):
+            near = may_be_near(rows.column("n").to_numpy(), rows.column("bits").to_pylist(),
+                               rows.column("component").to_pylist(),
+                               rows.column("block").to_pylist(), least, of)
+            if near.any():
+                yield from rows.select(told).filter(pa.array(near)).to_batches()
+
+    close = stored(dealt.join(sets.select("key", "n", "bits"), "key").repartition(*_TASK)
+                   .sortWithinPartitions(*_TASK).mapInArrow(run, dealt.schema), "join-close")
+    side = F.expr("low < high AND block = low")
+    once = (close.groupBy(*_TASK).agg(
+        F.count("*").alias("size"), F.bit_xor(F.xxhash64("key", side)).alias("all"),
+        F.bit_xor(F.xxhash64("key", side, F.lit(1))).alias("all_again"))
+        .groupBy("size", "all", "all_again").agg(F.min(F.struct(*_TASK)).alias("task"))
+        .select("task.*"))
+    return close.join(once, _TASK, "left_semi")
+
+
+def _across(close: DataFrame, sets: DataFrame, least: int, of: int) -> DataFrame:
+    """a, b: links that join components within the open groups, by the blocks of ``close``."""
     def run(table: pa.Table) -> pa.Table:
         found = block_links([np.frombuffer(g.as_py(), np.uint64) for g in table.column("grams")],
                             table.column("component").to_pylist(),
@@ -393,14 +474,13 @@ def _across(members: DataFrame, sets: DataFrame, least: int, of: int) -> DataFra
         return pa.table({name: pa.array([nodes[pair[i]].as_py() for pair in found], _NODE)
                          for i, name in enumerate("ab")})
 
-    return (dealt.join(sets, "key").selectExpr("sig", "pair.low", "pair.high", "node",
-                                               "component.key AS component", "block", "grams")
-            .groupBy("sig", "low", "high").applyInArrow(run, _LINK))
+    return (close.join(sets.select("key", "grams"), "key").groupBy(*_TASK)
+            .applyInArrow(run, _LINK))
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str,
              size: int) -> DataFrame:
-    """key, grams of the documents whose ids are ``wanted`` (rep)."""
+    """key, n, bits (fine bitmap), grams of the documents whose ids are ``wanted`` (rep)."""
     few = wanted.count() <= LOOKUP
     ids = F.broadcast(wanted) if few else wanted
     rows = texts(docs, id_col, text_col)
@@ -409,10 +489,13 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str,
     def prepare():
         def run(batch: list[str]) -> dict[str, list]:
             sets = [shingles(t, size) for t in batch]
-            return {"key": [_key(s) for s in sets], "grams": [s.tobytes() for s in sets]}
+            return {"key": [_key(s) for s in sets], "n": [len(s) for s in sets],
+                    "bits": [fine_bitmap(s).tobytes() for s in sets],
+                    "grams": [s.tobytes() for s in sets]}
         return run
 
-    return map_texts(chosen, prepare, "key bigint, grams binary", carry=()).where("key IS NOT NULL")
+    return map_texts(chosen, prepare, "key bigint, n bigint, bits binary, grams binary",
+                     carry=()).where("key IS NOT NULL")
 
 
 def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
@@ -473,9 +556,8 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     removed(pairs, sets)
 
     known = stored(components(first, rounds=2), "join-components-hub")
-    here = groups.selectExpr("sig", "key").unionByName(
-        groups.selectExpr("sig", "hub AS key").distinct())
-    placed = (here.join(classes.select("key", "rep"), "key").withColumn("node", F.expr(_VERTEX))
+    # All of a group have been compared with its hub, so that is left out.
+    placed = (groups.select("sig", "key").join(classes.select("key", "rep"), "key").withColumn("node", F.expr(_VERTEX))
               .join(known, "node", "left")
               .selectExpr("sig", "key", "rep", "coalesce(component, node) AS component"))
     # Groups of several components; of those with the same members, one.
@@ -488,8 +570,9 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rest = stored(placed.join(open_groups, "sig"), "join-open")
     sets = stored(_sets_of(docs, rest.select("rep").distinct(), id_col, text_col, size),
                   "join-sets-open")
-    across = stored(_across(rest, sets, least, of), "join-links-open")
-    removed(rest, sets)
+    close = stored(_close(rest, sets, least, of), "join-close-once")
+    across = stored(_across(close, sets, least, of), "join-links-open")
+    removed(rest, close, sets)
     found = stored(components(first.union(across)), "join-components")
 
     placed = (classes.select("key", "rep").withColumn("node", F.expr(_VERTEX))

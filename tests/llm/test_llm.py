@@ -492,3 +492,61 @@ def test_pipeline_stages_keep_what_they_should(spark):
             assert all("AKIA" not in r.text for r in kept.values())
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
     assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == set(kept)
+
+
+def boilerplate(others: int, size: int = 300) -> list[str]:
+    """Texts that share half of their words, in a row, and a few pairs of near copies of them."""
+    rng = random.Random(11)
+    common = [f"c{i}" for i in range(size // 2)]
+    texts = [" ".join(common + [f"x{rng.random()}" for _ in range(size // 2)]) for _ in range(others)]
+    return texts + [t.rsplit(" ", 3)[0] + f" y{i}" for i, t in enumerate(texts[::10])]
+
+
+def test_open_groups_send_whole_sets_only_of_what_may_be_near(spark, monkeypatch):
+    texts = boilerplate(60)
+    docs = spark.createDataFrame(rows(texts), SCHEMA)
+    sent = []
+    walk = jaccard_join._across
+    monkeypatch.setattr(jaccard_join, "_across", lambda members, *a: (sent.append(members.count()),
+                                                                      walk(members, *a))[1])
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_join(docs).collect()}
+    assert found == brute_components(list(range(len(texts))), texts)
+    # Every open group sent all its sets before: thousands here.
+    assert sent[0] <= 4 * len(texts)
+
+
+@pytest.mark.parametrize("block", [192, 3])
+def test_open_groups_in_blocks_lose_no_link(spark, monkeypatch, block):
+    # Near copies of one another in groups whose hub is near none of them, or not found by hubs at all.
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "_verified", lambda pairs, *a: pairs.select("a", "b").limit(0))
+    monkeypatch.setattr(jaccard_join, "_prefixes", lambda docs, *a: docs.sparkSession.createDataFrame(
+        [(s, k, -(1 << 63)) for s in (1, 2) for k in keys], "sig bigint, key bigint, hub bigint"))
+    texts = boilerplate(30)
+    keys = [jaccard_join._key(jaccard_join.shingles(t)) for t in texts]
+    found = jaccard_join.jaccard_join(spark.createDataFrame(rows(texts), SCHEMA))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == brute_components(
+        list(range(len(texts))), texts)
+
+
+def test_fine_bitmaps_leave_out_no_linked_set():
+    rng = np.random.default_rng(7)
+    sets = []
+    for n in (3, 40, 900, 1020, 1100, 2100, 4200):
+        base = rng.integers(1, 1 << 60, n).astype(np.uint64)
+        sets += [np.unique(np.concatenate([base[rng.integers(0, n // 8 + 1):],
+                                           rng.integers(1, 1 << 60, rng.integers(0, n // 9 + 1)).astype(np.uint64)]))
+                 for _ in range(8)]
+    sizes = np.array([len(s) for s in sets])
+    maps = [jaccard_join.fine_bitmap(s).tobytes() for s in sets]
+    assert {len(m) // 8 for m in maps} >= {16, 32, 64}
+    near = np.array([[100 * len(np.intersect1d(x, y)) >= 85 * len(np.union1d(x, y)) for y in sets] for x in sets])
+    near &= ~np.eye(len(sets), dtype=bool)
+    for blocks in ([0] * len(sets), [i % 2 for i in range(len(sets))]):
+        own = near & (np.not_equal.outer(blocks, blocks) | (len(set(blocks)) == 1))
+        marked = jaccard_join.may_be_near(sizes, maps, list(range(len(sets))), blocks)
+        assert own.any() and (marked | ~own.any(axis=1)).all()
+    assert not jaccard_join.may_be_near(sizes, maps, [0] * len(sets), [0] * len(sets)).any()
+    alone = [np.unique(rng.integers(1, 1 << 60, n).astype(np.uint64)) for n in (5000, 5100, 600, 610)]
+    assert not jaccard_join.may_be_near(np.array(list(map(len, alone))), [
+        jaccard_join.fine_bitmap(s).tobytes() for s in alone], [0, 1, 2, 3], [0] * 4).any()
