@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -31,6 +32,19 @@ def removed(*tables: DataFrame) -> None:
         path.getFileSystem(rows.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Tables stored meanwhile hand over at most ``rows`` rows at once to Python, or fewer if so set."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if not 0 < int(before) <= rows:
+        spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def text_of(name: str) -> Column:
     """A text column with null read as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -8,6 +8,10 @@ ends cut the text into groups.  With the group incidence matrices G_A and G_B (g
 token), G_A'.G_B is what shares a group; it is kept as its factors, since its entries are
 the square of a long group.
 
+Texts repeat their words.  No token of either crosses from a word to the space after it,
+so tokens, groups and their listing are made once for each distinct chunk of a batch of
+texts (a word with the white space before it), and a text's are its chunks' in a row.
+
 Corpus counts.  A pair of ids counts once per document that holds it linked.  Documents'
 ids are stored, and their links made again when the counts are known, which is cheaper
 than storing links.  The most frequent pairs, at most ``KNOWN`` of them, are looked up
@@ -31,18 +35,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.bpe import byte_alphabet
-from clickloom.llm.scratch import in_parts, stored, texts
-from clickloom.llm.tokens import vocabulary
+from clickloom.llm.scratch import arrow_rows, in_parts, stored, texts
+from clickloom.llm.tokens import Generations, vocabulary
 
 VOCABULARY_A, RANKS_A, VOCABULARY_B = ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken",
                                        "piece_bpe_32k.model")
 # Pairs of ids whose counts are sent to every worker, and distinct pairs of a task that
 # are summed before they leave it.
 KNOWN, GATHER = 400_000, 1_000_000
+# Rows that Spark and a worker hand over at once, and chunks that a worker remembers.
+ROWS, CHUNKS = 512, 50_000
 # Letters and marks that all versions of Unicode class alike, and the longest run without
 # white space that the faster of two equal encoders gets.
 _PLAIN = re.compile("[^\x00-ɏ]")
 _RUN = re.compile(r"\S{4000}|\s{4000}")
+# Such texts are cut where a space follows what is not white space.
+_CUT = re.compile("(?<=[^\t-\r \x85\xa0])(?= )")
+_BLANK = "\t\n\x0b\x0c\r \x85\xa0"
 # Bits of an id; a pair of ids and a document of a batch share a 64-bit number.
 _SHIFT = 20
 
@@ -141,6 +150,12 @@ class Tokenizers:
             raise ValueError(f"vocabularies may have {1 << _SHIFT} ids")
         self.lengths_a = np.array([len(b) for b in self.bytes_a], np.int64)
         self.lengths_b = np.array([len(b) for b in self.bytes_b], np.int64)
+        self.kind = "<u2" if max(len(self.bytes_a), len(self.bytes_b)) <= 1 << 16 else "<u4"
+        # A piece with a space after something else could cross a cut.
+        self._cuts = bool(self._fast) and not any(
+            " " in b.decode(errors="replace").lstrip(" ") for b in self.bytes_b)
+        self._chunks = Generations(CHUNKS)
+        self._listed = _Listed(max(len(self.bytes_a), len(self.bytes_b)))
 
     def encode(self, text: str) -> tuple[list[int], list[int]]:
         """Ids of a space and ``text``, by each; none if either's bytes differ from those."""
@@ -157,6 +172,75 @@ class Tokenizers:
             return [], []
         return a, b
 
+    def aligned(self, texts: list[str]) -> Iterator[tuple[bytes, bytes, int, bytes] | None]:
+        """Of every text the ids of both as ``kind``, the number of groups and their listing.
+
+        None stands for a text without tokens.
+        """
+        known, cut, new = self._chunks, [], set()
+        known.age()
+        for text in texts:
+            plain = self._cuts and text and not _PLAIN.search(text) and not _RUN.search(text)
+            cut.append(_CUT.split(" " + text) if plain else None)
+            new.update(cut[-1] or ())
+        new.difference_update(known)
+        for chunk in [c for c in new if c in known.old]:
+            known[chunk] = known.old[chunk]
+        new = list(new.difference(known))
+        # White space at the end of a text is its own: more must not follow it.
+        self._learn([c for c in new if c[-1] not in _BLANK])
+        for chunk in new:
+            if chunk[-1] in _BLANK:
+                self._learn([chunk])
+        for text, chunks in zip(texts, cut):
+            if chunks is None:
+                a, b = self.encode(text)
+                yield self._whole(a, b) if a else None
+                continue
+            found = [known[c] for c in chunks]
+            if None in found:
+                yield None
+                continue
+            a, b, count, listed = zip(*found)
+            yield b"".join(a), b"".join(b), sum(count), b";".join(listed)
+
+    def _whole(self, a: list[int], b: list[int]) -> tuple[bytes, bytes, int, bytes]:
+        wide_a, wide_b = np.array(a, np.int64), np.array(b, np.int64)
+        group_a, group_b = groups(self.lengths_a[wide_a], self.lengths_b[wide_b])
+        return (wide_a.astype(self.kind).tobytes(), wide_b.astype(self.kind).tobytes(),
+                int(group_a[-1]) + 1, self._listed.text(wide_a, wide_b, group_a, group_b))
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Remember what becomes of chunks, which are encoded together."""
+        if not chunks:
+            return
+        # A word before them, as B adds a space to the first only and chunks bring their own.
+        joined = "x" + "".join(chunks)
+        a, b = (np.array(ids, np.int64) for ids in self.encode(joined))
+        if not len(a):
+            # One of them is not given back byte by byte; it is looked for by halves.
+            half = len(chunks) // 2
+            if half:
+                self._learn(chunks[:half])
+                self._learn(chunks[half:])
+            else:
+                self._chunks[chunks[0]] = None
+            return
+        ends = np.cumsum([2] + [len(c.encode()) for c in chunks])
+        ends_a, ends_b = np.cumsum(self.lengths_a[a]), np.cumsum(self.lengths_b[b])
+        last_a, last_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+        if (ends_a[last_a] != ends).any() or (ends_b[last_b] != ends).any():
+            raise ValueError("a token crosses from a word to the space after it")
+        group_a, group_b = groups(self.lengths_a[a], self.lengths_b[b])
+        parts = self._listed.parts(a, b, group_a, group_b)
+        raw_a, raw_b, size = a.astype(self.kind).tobytes(), b.astype(self.kind).tobytes(), int(self.kind[2])
+        last_a, last_b, last = last_a + 1, last_b + 1, group_a[last_a] + 1
+        slices = zip(chunks, *(
+            y for x in (last_a, last_b, last) for y in (x[:-1].tolist(), x[1:].tolist())))
+        for chunk, a0, a1, b0, b1, g0, g1 in slices:
+            self._chunks[chunk] = (raw_a[size * a0:size * a1], raw_b[size * b0:size * b1], g1 - g0,
+                                   b"".join(parts[a0 + b0:a1 + b1])[:-1])
+
 
 def _ranked(path: str) -> Callable[[str], list[int]]:
     import tiktoken
@@ -181,8 +265,13 @@ class _Listed:
         self._largest = largest
 
     def text(self, a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray) -> bytes:
+        return b"".join(self.parts(a, b, group_a, group_b))[:-1]
+
+    def parts(self, a: np.ndarray, b: np.ndarray, group_a: np.ndarray,
+              group_b: np.ndarray) -> list[bytes]:
+        """Each token's, group by group, those of A first; the mark of a group's end comes last."""
         if not len(a):
-            return b""
+            return []
         count = group_a[-1] + 1
         sizes_a, sizes_b = np.bincount(group_a, minlength=count), np.bincount(group_b, minlength=count)
         parts = np.empty(len(a) + len(b), np.int64)
@@ -191,11 +280,7 @@ class _Listed:
             a + self._largest * np.append(group_a[1:] != group_a[:-1], True)
         parts[np.arange(len(b)) + np.cumsum(sizes_a)[group_b]] = \
             b + 2 * self._largest * np.append(group_b[1:] != group_b[:-1], True)
-        return b"".join(map(self._parts.__getitem__, parts.tolist()))[:-1]
-
-
-def _packed(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+        return list(map(self._parts.__getitem__, parts.tolist()))
 
 
 ENCODED = ("doc_id bigint, row bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, "
@@ -204,25 +289,21 @@ ENCODED = ("doc_id bigint, row bigint, n_a bigint, n_b bigint, n_groups bigint,
 
 def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             paths: tuple[str, str | None, str] | None = None) -> DataFrame:
-    """Ids of both tokenizers (uint32) and what one document alone decides, of every row."""
+    """Ids of both tokenizers (uint16 if all fit, else uint32) and what one document alone decides, of every row."""
     paths = paths or tuple(vocabulary(v) for v in (VOCABULARY_A, RANKS_A, VOCABULARY_B))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizers(*paths)
-        listed = _Listed(max(len(own.bytes_a), len(own.bytes_b)))
+        size = int(own.kind[2])
         for batch in in_parts(batches):
             out: dict[str, list] = {c: [] for c in ("n_a", "n_b", "n_groups", "n_links",
                                                     "groups_sha256", "a", "b")}
-            for text in batch.column("text").to_pylist():
-                a, b = own.encode(text)
-                wide_a, wide_b = np.array(a, np.int64), np.array(b, np.int64)
-                lengths = own.lengths_a[wide_a], own.lengths_b[wide_b]
-                group_a, group_b = groups(*lengths)
-                count = int(group_a[-1]) + 1 if a else 0
-                told = hashlib.sha256(listed.text(wide_a, wide_b, group_a, group_b)).hexdigest()
+            for found in own.aligned(batch.column("text").to_pylist()):
+                a, b, count, listed = found or (b"", b"", 0, b"")
+                n_a, n_b = len(a) // size, len(b) // size
+                told = hashlib.sha256(listed).hexdigest() if found else ""
                 # Tokens of both lie end to end, so all ends but common ones add a link.
-                for name, value in zip(out, (len(a), len(b), count, len(a) + len(b) - count,
-                                             told if a else "", _packed(a), _packed(b))):
+                for name, value in zip(out, (n_a, n_b, count, n_a + n_b - count, told, a, b)):
                     out[name].append(value)
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": batch.column("doc_id"), "row": batch.column("row")}
@@ -240,16 +321,16 @@ def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 class Linker:
     """Links of a batch of encoded documents, as sorted pairs of ids by document."""
 
-    def __init__(self, lengths_a: np.ndarray, lengths_b: np.ndarray):
-        self._lengths = lengths_a, lengths_b
+    def __init__(self, lengths_a: np.ndarray, lengths_b: np.ndarray, kind: str):
+        self._lengths, self._kind = (lengths_a, lengths_b), kind
 
     def pairs(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Document (place in the batch), pair of ids and number of links, each pair once."""
         ids, sizes = [], []
         for name in ("a", "b"):
             column = batch.column(name).to_pylist()
-            ids.append(np.frombuffer(b"".join(column), "<u4").astype(np.int64))
-            sizes.append(np.array([len(x) // 4 for x in column], np.int64))
+            ids.append(np.frombuffer(b"".join(column), self._kind).astype(np.int64))
+            sizes.append(np.array([len(x) // int(self._kind[2]) for x in column], np.int64))
         # Texts follow each other end to end in both, so no link crosses from one to the next.
         left, right, _ = overlap_links(self._lengths[0][ids[0]], self._lengths[1][ids[1]])
         doc = np.repeat(np.arange(batch.num_rows), sizes[0])[left]
@@ -261,7 +342,7 @@ class Linker:
 
 def _linker(paths) -> Linker:
     own = tokenizers(*paths)
-    return Linker(own.lengths_a, own.lengths_b)
+    return Linker(own.lengths_a, own.lengths_b, own.kind)
 
 
 def pair_counts(found: DataFrame, paths) -> DataFrame:
@@ -318,11 +399,14 @@ def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A, its ranks for the faster encoder (None: not used) and the model of B.
     """
     paths = paths or tuple(vocabulary(v) for v in (VOCABULARY_A, RANKS_A, VOCABULARY_B))
-    found = stored(encoded(docs, id_col, text_col, paths), "align-ids")
-    counts = stored(pair_counts(found, paths), "align-counts")
+    spark = docs.sparkSession
+    # Ids are longer than most rows, and a batch is held on both sides.
+    with arrow_rows(spark, ROWS):
+        found = stored(encoded(docs, id_col, text_col, paths), "align-ids")
+        counts = stored(pair_counts(found, paths), "align-counts")
     frequent = F.col("count") >= most_frequent(counts, known)
     top = counts.where(frequent).orderBy("pair").toArrow()
-    shared = docs.sparkSession.sparkContext.broadcast(tuple(
+    shared = spark.sparkContext.broadcast(tuple(
         top.column(c).to_numpy() for c in ("pair", "count", "best")))
     plain = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
 
@@ -347,10 +431,11 @@ def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 [*plain, "row", "n_best", "count_sum", "rare", "rare_links"])
 
     kinds = {f.name: f.dataType.simpleString() for f in found.schema}
-    looked_up = stored(found.mapInArrow(run, ", ".join(
+    schema = ", ".join(
         [f"{c} {kinds[c]}" for c in plain] + ["row bigint", "n_best bigint", "count_sum bigint",
-                                              "rare array<bigint>", "rare_links array<bigint>"])),
-        "align-known")
+                                              "rare array<bigint>", "rare_links array<bigint>"])
+    with arrow_rows(spark, ROWS):
+        looked_up = stored(found.mapInArrow(run, schema), "align-known")
     rest = (looked_up.where("size(rare) > 0")
             .selectExpr("row", "inline(arrays_zip(rare, rare_links)) AS (pair, links)")
             .join(counts.where(~frequent), "pair").groupBy("row")

@@ -251,3 +251,23 @@ def test_shares_add_up_along_the_tree(spark):
             p = (blocked + smooth * p) / (10 + smooth)
         expected[name] = p
     assert found == pytest.approx(expected)
+
+
+def test_chunks_give_what_whole_texts_give_in_small_batches_of_narrow_ids(spark):
+    own = token_align.tokenizers(*(vocabulary(v) for v in (
+        token_align.VOCABULARY_A, token_align.RANKS_A, token_align.VOCABULARY_B)))
+    rng = random.Random(5)
+    marks = list(" \t\n\r\x1c\x85\xa0aZé½¨;)}'9,.<") + ["  ", " the", "'re", "\r\n", ";\r", "</s>", "▁", "中", " "]
+    texts = ["".join(rng.choice(marks) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
+    whole = [own._whole(*ids) if ids[0] else None for ids in map(own.encode, texts)]
+    assert [x for i in range(0, 3000, 512) for x in own.aligned(texts[i:i + 512])] == whole
+    assert sum(x is None for x in whole) > 20
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    with token_align.arrow_rows(spark, 7):
+        sizes = spark.range(40).coalesce(1).mapInArrow(
+            lambda batches: (b.slice(0, 1) for b in batches), "id bigint").count()
+    assert sizes == 6 and spark.conf.get(name) == before
+    docs = spark.createDataFrame([(0, "plain words " * 9, "en", "web", 0, 0)], DOCS)
+    row = token_align.encoded(docs).first()
+    assert row.n_a > 0 and len(row.a) == 2 * row.n_a and len(row.b) == 2 * row.n_b
