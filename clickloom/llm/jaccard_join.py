@@ -20,8 +20,12 @@ block.  They first meet as bitmaps, about an eighth to a quarter byte an n-gram;
 those that may be near one of another component go on with their whole sets.  There a
 block's sets are a trie, and those of the other block walk through it, leaving subtrees
 that hold only their own component.  A walk joins components as it finds links, so it
-tells at most one link less than it has components, however many pairs are near.  What
-the same sets are left of is walked once.
+tells at most one link less than it has components, however many pairs are near.
+
+Turns.  Near sets share many prefixes and so meet in many open groups.  First one group of
+each set is walked, the one that comes first by hash, which sets alike choose alike.  Its
+links join components before the other groups are looked at, and no pair that has met in
+a group that was walked counts again.  What the same sets are left of is walked once.
 """
 
 from __future__ import annotations
@@ -35,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.scratch import map_texts, removed, stored, texts
+from clickloom.llm.scratch import arrow_rows, map_texts, removed, stored, texts
 
 WORDS = 4
 # Similarity as a share of whole numbers, so that the comparison is exact.
@@ -46,8 +50,12 @@ BITMAP = 16
 SCHEMES = 6
 # Sets of an open group in one trie, on average.
 BLOCK = 192
+# Turns in which one open group of each set is walked, before all that are left.
+FIRST_TURNS = 1
 # n-grams of one trie node.
 NODE = 16
+# Rows handed to Python at once; a row may hold two whole sets or a long text.
+ROWS = 512
 # Ids up to which the documents to verify are looked up by a broadcast; beyond, by a join.
 LOOKUP = 200_000
 _CACHE = 150_000
@@ -387,16 +395,28 @@ def _mark(node: _Node, components: list[int]) -> set[int]:
     return node.components
 
 
+def _shared(lists: list) -> np.ndarray:
+    """Which two of the lists (or None) have a number in common."""
+    names: dict[int, int] = {}
+    at = [(row, names.setdefault(x, len(names))) for row, own in enumerate(lists) for x in own or ()]
+    holds = np.zeros((len(lists), len(names)), np.float32)
+    if at:
+        holds[tuple(np.array(at).T)] = 1
+    return holds @ holds.T > 0
+
+
 def may_be_near(sizes: np.ndarray, bitmaps: list[bytes], components: list, blocks: list[int],
-                least: int = LEAST, of: int = OF) -> np.ndarray:
+                least: int = LEAST, of: int = OF, walked: list | None = None) -> np.ndarray:
     """Which sets may be linked with one of another component, by sizes and fine bitmaps.
 
-    With two different numbers in ``blocks``, pairs inside a block do not count.
+    With two different numbers in ``blocks``, pairs inside a block do not count, nor do
+    pairs that share one of the groups in ``walked`` (a list, or None, for each set).
     """
     names: dict = {}
     own = np.array([names.setdefault(c, len(names)) for c in components])
     side, within = np.array(blocks), len(set(blocks)) == 1
     widths, found = np.array([len(b) for b in bitmaps]), np.zeros(len(sizes), bool)
+    new = ~_shared(walked or [None] * len(sizes))
     for width in np.unique(widths):
         wide = np.flatnonzero(widths >= width)
         folded = np.array([np.bitwise_xor.reduce(
@@ -404,7 +424,7 @@ def may_be_near(sizes: np.ndarray, bitmaps: list[bytes], components: list, block
         for at in np.flatnonzero(widths[wide] == width):
             i, n = wide[at], sizes[wide[at]]
             may = np.flatnonzero(
-                (own[wide] != own[i]) & (within | (side[wide] != side[i]))
+                (own[wide] != own[i]) & (within | (side[wide] != side[i])) & new[i, wide]
                 & (of * np.minimum(sizes[wide], n) >= least * np.maximum(sizes[wide], n)))
             differ = np.bitwise_count(folded[may] ^ folded[at]).sum(axis=1)
             near = may[differ <= (sizes[wide[may]] + n) * (of - least) // (of + least)]
@@ -431,30 +451,37 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[
 _TASK = ["sig", "low", "high"]
 
 
-def _close(members: DataFrame, sets: DataFrame, least: int, of: int) -> DataFrame:
-    """The members of two blocks (sig, low, high) that may be near one of another component.
+def _dealt(members: DataFrame) -> DataFrame:
+    """The members (sig, key, rep, component, blocks of its group) of every two blocks.
 
-    ``members`` are sig, key, rep, component, blocks (of its group).  A member goes to as
-    many tasks as its group has blocks, with its bitmap; those of the same members are
-    kept once.
+    A member goes to as many tasks (sig, low, high) as its group has blocks.
     """
-    dealt = members.withColumn("block", F.expr("pmod(xxhash64(key), blocks)")).selectExpr(
+    return members.withColumn("block", F.expr("pmod(xxhash64(key), blocks)")).selectExpr(
         "sig", "key", f"{_VERTEX} AS node", "component.key AS component", "block",
         "explode(transform(sequence(0L, blocks - 1), i -> "
         "struct(least(i, block) AS low, greatest(i, block) AS high))) AS pair").selectExpr(
         "sig", "pair.low", "pair.high", "key", "node", "component", "block")
+
+
+def _close(dealt: DataFrame, sets: DataFrame, walked: DataFrame, least: int, of: int) -> DataFrame:
+    """The rows of ``dealt`` that may be near one of another component in their task.
+
+    They meet with their bitmaps.  Pairs that have met in a group of ``walked`` (key,
+    walked) are left out.  Of tasks with the same members, one is kept.
+    """
     told = dealt.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _whole_groups(batches, _TASK):
             near = may_be_near(rows.column("n").to_numpy(), rows.column("bits").to_pylist(),
                                rows.column("component").to_pylist(),
-                               rows.column("block").to_pylist(), least, of)
+                               rows.column("block").to_pylist(), least, of,
+                               rows.column("walked").to_pylist())
             if near.any():
                 yield from rows.select(told).filter(pa.array(near)).to_batches()
 
-    close = stored(dealt.join(sets.select("key", "n", "bits"), "key").repartition(*_TASK)
-                   .sortWithinPartitions(*_TASK).mapInArrow(run, dealt.schema), "join-close")
+    close = stored(dealt.join(sets.select("key", "n", "bits"), "key").join(walked, "key", "left")
+                   .repartition(*_TASK).sortWithinPartitions(*_TASK).mapInArrow(run, dealt.schema), "join-close")
     side = F.expr("low < high AND block = low")
     once = (close.groupBy(*_TASK).agg(
         F.count("*").alias("size"), F.bit_xor(F.xxhash64("key", side)).alias("all"),
@@ -464,6 +491,23 @@ def _close(members: DataFrame, sets: DataFrame, least: int, of: int) -> DataFram
     return close.join(once, _TASK, "left_semi")
 
 
+def _one_each(members: DataFrame) -> DataFrame:
+    """Groups (sig) such that every set is in one of them: of each set, the first by hash."""
+    return members.groupBy("key").agg(
+        F.min(F.struct(F.xxhash64("sig"), "sig")).alias("first")).select("first.sig").distinct()
+
+
+def _still_open(members: DataFrame, known: DataFrame) -> DataFrame:
+    """``members`` with their components by ``known``, without groups of one component."""
+    placed = (members.drop("component").withColumn("node", F.expr(_VERTEX))
+              .join(known, "node", "left")
+              .select("sig", "key", "rep", F.expr("coalesce(component, node)").alias("component"),
+                      "blocks"))
+    several = (placed.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+               .where("low <> high").select("sig"))
+    return placed.join(several, "sig", "left_semi")
+
+
 def _across(close: DataFrame, sets: DataFrame, least: int, of: int) -> DataFrame:
     """a, b: links that join components within the open groups, by the blocks of ``close``."""
     def run(table: pa.Table) -> pa.Table:
@@ -527,6 +571,12 @@ def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     return edges.selectExpr("u AS node", "v AS component").union(roots)
 
 
+def _joined(known: DataFrame, links: DataFrame) -> DataFrame:
+    """``known`` components (node, component) with more links (a, b)."""
+    return stored(components(known.selectExpr("node AS a", "component AS b").union(links)),
+                  "join-components")
+
+
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  size: int = WORDS, least: int = LEAST, of: int = OF) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable by links) of every row.
@@ -536,6 +586,13 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Null ids count for the component only if it has no other.  Sets are told apart by a
     64-bit digest, n-grams by a 64-bit hash.
     """
+    with arrow_rows(docs.sparkSession, ROWS):
+        return _placed(docs, id_col, text_col, size, least, of)
+
+
+def _placed(docs: DataFrame, id_col: str, text_col: str, size: int, least: int,
+            of: int) -> DataFrame:
+    """The rows of ``jaccard_join``; all that runs Python is stored here."""
     members = stored(shingle_sets(docs, id_col, text_col, size), "join-members")
     classes = stored(members.where("key IS NOT NULL").groupBy("key").agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits")),
@@ -555,7 +612,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     first = stored(_verified(pairs, sets, least, of), "join-links")
     removed(pairs, sets)
 
-    known = stored(components(first, rounds=2), "join-components-hub")
+    known = stored(components(first), "join-components-hub")
     # All of a group have been compared with its hub, so that is left out.
     placed = (groups.select("sig", "key").join(classes.select("key", "rep"), "key").withColumn("node", F.expr(_VERTEX))
               .join(known, "node", "left")
@@ -570,13 +627,28 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rest = stored(placed.join(open_groups, "sig"), "join-open")
     sets = stored(_sets_of(docs, rest.select("rep").distinct(), id_col, text_col, size),
                   "join-sets-open")
-    close = stored(_close(rest, sets, least, of), "join-close-once")
-    across = stored(_across(close, sets, least, of), "join-links-open")
-    removed(rest, close, sets)
-    found = stored(components(first.union(across)), "join-components")
-
+    # Linked sets meet in many groups.  One group of each set is walked first; of the others
+    # what is still in several components, and has not met in a group before.
+    walked = rest.select("key", F.array("sig").alias("walked")).limit(0)
+    for turn in range(FIRST_TURNS + 1):
+        now = rest
+        if turn < FIRST_TURNS:
+            chosen = stored(_one_each(rest), "join-chosen")
+            now = rest.join(chosen, "sig", "left_semi")
+        close = stored(_close(_dealt(now), sets, walked, least, of), "join-close-once")
+        across = stored(_across(close, sets, least, of), "join-links-open")
+        known = _joined(known, across)
+        removed(close)
+        if turn < FIRST_TURNS:
+            met = now.select("key", F.array("sig").alias("walked")).union(walked)
+            walked = stored(met.groupBy("key").agg(F.flatten(F.collect_list("walked")).alias("walked")),
+                            "join-walked")
+            before, rest = rest, stored(_still_open(rest.join(chosen, "sig", "left_anti"), known),
+                                        "join-open")
+            removed(before)
+    removed(rest, sets)
     placed = (classes.select("key", "rep").withColumn("node", F.expr(_VERTEX))
-              .join(found, "node", "left")
+              .join(known, "node", "left")
               .select("key", F.expr("coalesce(component, node).rep AS component_id")))
     return (members.select("doc_id", "n", "key").join(placed, "key", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),

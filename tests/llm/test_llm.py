@@ -550,3 +550,21 @@ def test_fine_bitmaps_leave_out_no_linked_set():
     alone = [np.unique(rng.integers(1, 1 << 60, n).astype(np.uint64)) for n in (5000, 5100, 600, 610)]
     assert not jaccard_join.may_be_near(np.array(list(map(len, alone))), [
         jaccard_join.fine_bitmap(s).tobytes() for s in alone], [0, 1, 2, 3], [0] * 4).any()
+
+
+def test_near_sets_are_not_walked_in_every_group_that_they_share(spark, monkeypatch):
+    # Twelve open groups, each of all sets but one, and nothing found by hubs.
+    texts = boilerplate(40)
+    keys = [jaccard_join._key(jaccard_join.shingles(t)) for t in texts]
+    monkeypatch.setattr(jaccard_join, "_verified", lambda pairs, *a: pairs.select("a", "b").limit(0))
+    monkeypatch.setattr(jaccard_join, "_prefixes", lambda docs, *a: docs.sparkSession.createDataFrame(
+        [(s, k, -(1 << 63)) for s in range(12) for i, k in enumerate(keys) if i % 10 or i // 10 != s % 4],
+        "sig bigint, key bigint, hub bigint"))
+    sent, walk = [], jaccard_join._across
+    monkeypatch.setattr(jaccard_join, "_across", lambda members, *a: (sent.append(members.count()),
+                                                                      walk(members, *a))[1])
+    found = jaccard_join.jaccard_join(spark.createDataFrame(rows(texts), SCHEMA))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == brute_components(
+        list(range(len(texts))), texts)
+    # Every group sent its near sets before, whatever others had sent.
+    assert sum(sent) <= 16, sent
