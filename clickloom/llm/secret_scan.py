@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.scratch import in_parts, map_texts, texts
+from clickloom.llm.scratch import arrow_rows, in_parts, map_texts, stored, texts
 
 KINDS = ("assign", "access", "hex", "novel")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
@@ -40,6 +40,7 @@ AROUND = 512        # characters of surroundings on either side
 NOVEL = 0.8         # share of a random string's marginal bytes from which a string is new
 PLENTY = 0.85       # marginal bytes a character that are enough, unless of letters only
 CONTROLS = 4        # random strings of the same length and alphabet to compare with
+ROWS = 512          # whole rows handed to Python at once when masking
 LONG = 4096         # characters of the longest of them; beyond, the need grows with the length
 
 # Alphabets of random strings, the smallest first; other characters are added as they occur.
@@ -241,6 +242,7 @@ def mask_secrets(docs: DataFrame, text_col: str = "text", length_col: str = "n_c
     """``docs`` with the secrets in its texts masked; ``length_col``, if there, follows.
 
     Texts without a find, null ones included, and all other columns stay as they are.
+    The result is stored: whole rows go to Python and back, so a few of them at a time.
     """
     import pyarrow as pa
     schema = docs.schema
@@ -261,4 +263,6 @@ def mask_secrets(docs: DataFrame, text_col: str = "text", length_col: str = "n_c
                                          pa.array(sizes, kind))
             yield batch
 
-    return docs.select(*[F.col(f"`{c}`") for c in docs.columns]).mapInArrow(run, schema)
+    with arrow_rows(docs.sparkSession, ROWS):
+        return stored(docs.select(*[F.col(f"`{c}`") for c in docs.columns]).mapInArrow(run, schema),
+                      "secrets-masked")

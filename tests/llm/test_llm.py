@@ -568,3 +568,17 @@ def test_near_sets_are_not_walked_in_every_group_that_they_share(spark, monkeypa
         list(range(len(texts))), texts)
     # Every group sent its near sets before, whatever others had sent.
     assert sum(sent) <= 16, sent
+
+
+def test_whole_rows_go_to_python_a_few_at_a_time(spark, monkeypatch):
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    docs = spark.createDataFrame(rows(["token=abcdef1 x", None, "", "a b c d e f"]), SCHEMA)
+    before = spark.conf.get(name)
+    for module in (jaccard_join, secret_scan):
+        kept = module.stored
+        monkeypatch.setattr(module, "stored", lambda r, label, kept=kept: (
+            seen.append(int(spark.conf.get(name))), kept(r, label))[1])
+    assert jaccard_join.jaccard_join(docs).count() == 4
+    masked = {r.doc_id: r.text for r in secret_scan.mask_secrets(docs).collect()}
+    assert masked == {0: "[SECRET] x", 1: None, 2: "", 3: "a b c d e f"}
+    assert max(seen) <= 512 and spark.conf.get(name) == before
