@@ -359,13 +359,14 @@ def block_links(sets: list[np.ndarray], components: list, blocks: list[int], lea
     members = [i for i, b in enumerate(blocks) if b == low]
     trie = build_trie([sets[i] for i in members])
     _mark(trie, [own[i] for i in members])
-    bits = np.array([bitmap(sets[i]) for i in members])
+    # Unsigned, as of a negative number numpy counts the bits of its absolute value.
+    bits = np.array([bitmap(sets[i]) for i in members]).view(np.uint64)
     sizes = np.array([len(sets[i]) for i in members])
     found = []
     for walker, grams in enumerate(sets):
         if not within and blocks[walker] == low:
             continue
-        differ = np.bitwise_count(bits ^ bitmap(grams)).sum(axis=1)
+        differ = np.bitwise_count(bits ^ bitmap(grams).view(np.uint64)).sum(axis=1)
         total = sizes + len(grams)
         near = ((of * np.minimum(sizes, len(grams)) >= least * np.maximum(sizes, len(grams)))
                 & (differ <= total * (of - least) // (of + least)))
@@ -473,6 +474,10 @@ def _close(dealt: DataFrame, sets: DataFrame, walked: DataFrame, least: int, of:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _whole_groups(batches, _TASK):
+            # Each set once, as those that come twice cancel out in the names of tasks below.
+            first = np.unique(rows.column("key").to_numpy(), return_index=True)[1]
+            if len(first) < rows.num_rows:
+                rows = rows.take(first)
             near = may_be_near(rows.column("n").to_numpy(), rows.column("bits").to_pylist(),
                                rows.column("component").to_pylist(),
                                rows.column("block").to_pylist(), least, of,

@@ -529,6 +529,52 @@ def test_open_groups_in_blocks_lose_no_link(spark, monkeypatch, block):
         list(range(len(texts))), texts)
 
 
+def test_every_linked_pair_of_an_open_group_is_told():
+    rng = np.random.default_rng(12)
+    for n in (30, 100, 250, 400, 900):
+        for changed in range(1, n // 13):
+            x = np.unique(rng.integers(1, 1 << 60, n).astype(np.uint64))
+            y = np.unique(np.concatenate([x[changed:], rng.integers(1, 1 << 60, changed).astype(np.uint64)]))
+            assert 100 * len(np.intersect1d(x, y)) >= 85 * len(np.union1d(x, y))
+            # Bits of the highest place in a word were counted wrong before.
+            assert len(jaccard_join.block_links([x, y], [0, 1], [0, 0])) == 1, (n, changed)
+            assert len(jaccard_join.block_links([x, y], [0, 1], [0, 1])) == 1, (n, changed)
+
+
+def near_copies(families: int, copies: int, least: int, most: int, size: int = 400) -> list[str]:
+    """Copies of texts, each with ``least`` to ``most`` words of its own."""
+    rng = random.Random(13)
+    texts = []
+    for family in range(families):
+        base = [f"f{family}w{rng.randint(0, 999)}" for _ in range(size)]
+        for copy in range(copies):
+            own = list(base)
+            for at in rng.sample(range(size), rng.randint(least, most)):
+                own[at] = f"n{copy}at{at}"
+            texts.append(" ".join(own))
+    return texts
+
+
+def test_near_copies_in_larger_groups_of_copies_are_found(spark):
+    # Many are near one another, but not near the first of the groups in which they meet.
+    texts = near_copies(8, 30, 4, 6)
+    found = jaccard_join.jaccard_join(spark.createDataFrame(rows(texts), SCHEMA))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == brute_components(
+        list(range(len(texts))), texts)
+
+
+def test_near_copies_among_rows_that_come_twice_are_found(spark, monkeypatch):
+    # A group for each two near copies, and nothing found by hubs.
+    texts = near_copies(4, 2, 2, 2)
+    keys = [jaccard_join._key(jaccard_join.shingles(t)) for t in texts]
+    monkeypatch.setattr(jaccard_join, "_verified", lambda pairs, *a: pairs.select("a", "b").limit(0))
+    monkeypatch.setattr(jaccard_join, "_prefixes", lambda docs, *a: docs.sparkSession.createDataFrame(
+        [(i // 2, k, -(1 << 63)) for i, k in enumerate(keys)], "sig bigint, key bigint, hub bigint"))
+    found = jaccard_join.jaccard_join(spark.createDataFrame(2 * rows(texts), SCHEMA))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == brute_components(
+        list(range(len(texts))), texts) == {i: (397, i // 2 * 2) for i in range(8)}
+
+
 def test_fine_bitmaps_leave_out_no_linked_set():
     rng = np.random.default_rng(7)
     sets = []
